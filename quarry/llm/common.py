@@ -72,9 +72,10 @@ def salted(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, how: str
 
 
 def heavy(df: DataFrame, key: str, part: float = 0.001, least: int = 1000) -> DataFrame:
-    """The keys with more than this part of df's rows: 1 / part of them at most."""
-    n = df.groupBy(key).agg(F.count("*").alias("__n"))
-    return n.filter(F.col("__n") > max(least, part * df.count())).select(key)
+    """The keys with more than this part of df's rows: 1 / part of them at most, so they pass through the driver."""
+    total = df.count()
+    n = df.groupBy(key).agg(F.count("*").alias("__n")).filter(F.col("__n") > max(least, part * total)).select(key)
+    return df.sparkSession.createDataFrame(n.collect() if total > least else [], n.schema)
 
 
 def columns(df: DataFrame, names: Iterable[str]) -> DataFrame:

@@ -7,9 +7,8 @@ may reach the threshold are confirmed on the full sets.
 
 Equal sets are one class from the start.  Within a bucket, members are held against a leader (a
 star, not all pairs); only members that are then still in different components are held against
-others: by new leaders while a bucket is large, in pairs across components once it is small, in
-blocks if leaders stop helping.  So each pair of a bucket is either confirmed, refuted, or already
-connected.  Components spread by labels; nothing is collected.
+others: in pairs across components if the bucket is small, in blocks inside tasks if it is large.
+So each pair of a bucket is either confirmed, refuted, or already connected.  Components spread by labels; nothing is collected.
 """
 
 from __future__ import annotations
@@ -41,10 +40,9 @@ class MinHash:
     #: Packed lanes of 4 bits; pairs estimated this far below the threshold (6 standard deviations) are refuted.
     bits: int = 4
     margin: float = 0.24
-    #: Residual buckets up to this size are paired across components; larger ones get new leaders, this often, then blocks.
+    #: What leaders leave of buckets up to this size is paired across components, of larger ones compared in blocks of so many.
     small: int = 32
-    rounds: int = 4
-    block: int = 256
+    block: int = 1024
     seed: int = 11
 
 
@@ -165,14 +163,14 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     edges = written(edges, "cc-edges")
-    hot = written(heavy(edges, "a"), "cc-hot")
+    hot = heavy(edges, "a")
     labels = written(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "id"), "cc-labels")
     while True:
         mine = labels.select(F.col("id").alias("a"), "label")
         sent = salted(edges, mine, "a", hot).groupBy("b").agg(F.min("label").alias("got"))
         near = labels.join(sent, labels["id"] == sent["b"], "left").select("id", F.col("label").alias("was"), F.least("label", F.coalesce("got", "label")).alias("l"))
         near = written(near, "cc-near")
-        top = written(heavy(near, "l"), "cc-top")
+        top = heavy(near, "l")
         far = near.select(F.col("id").alias("l"), F.col("l").alias("next"))
         labels = written(salted(near, far, "l", top, "left").select("id", F.coalesce("next", "l").alias("label"), "was"), "cc-labels")
         if labels.filter("label <> was").isEmpty():
@@ -199,7 +197,7 @@ def near_links(docs: DataFrame, reps: DataFrame, m: MinHash = MinHash()) -> Data
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         """pairs a, b: those that are links."""
-        crowd = written(heavy(pairs, "b"), "minhash-crowd")
+        crowd = heavy(pairs, "b")
         p = pairs.join(packed.select(F.col("id").alias("a"), F.col("packed").alias("pa")), "a")
         p = salted(p, packed.select(F.col("id").alias("b"), F.col("packed").alias("pb")), "b", crowd)
         p = p.filter(estimated(F.col("pa"), F.col("pb"), m) >= m.percent / 100 - m.margin).select("a", "b")
@@ -209,41 +207,61 @@ def near_links(docs: DataFrame, reps: DataFrame, m: MinHash = MinHash()) -> Data
         return written(p.select("a", "b", "ta", "tb").mapInArrow(confirmer(m), "a bigint, b bigint"), name)
 
     pairs = written(members.filter("id <> b").select(F.col("id").alias("a"), "b").distinct(), "minhash-stars")
-    links = [confirmed(pairs, "minhash-links")]
-    tested = [pairs]
-    for turn in range(m.rounds + 1):
-        labels = components(reduce(DataFrame.unionByName, links))
-        now = members.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-        now = written(now, "minhash-now")
-        open_ = now.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct(F.xxhash64(F.col("id"), F.lit(turn)), F.col("id")))["id"].alias("lead"), F.lit(1).alias("one")).filter("low <> high")
-        open_ = written(open_, "minhash-open")
-        left = written(salted(now, open_.select("key", "n", "lead"), "key", hot), "minhash-left")
-        small, large = left.filter(F.col("n") <= m.small), left.filter(F.col("n") > m.small)
-        x, y = small.select("key", F.col("id").alias("a"), F.col("label").alias("la")), small.select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
-        fresh = x.join(y, "key").filter((F.col("la") != F.col("lb")) & (F.col("a") > F.col("b"))).select("a", "b").distinct()
-        if turn < m.rounds:
-            fresh = fresh.unionByName(large.filter("id <> lead").select(F.greatest("id", "lead").alias("a"), F.least("id", "lead").alias("b"))).distinct()
-        else:
-            fresh = fresh.unionByName(in_blocks(large, m)).distinct()
-        fresh = written(fresh.join(reduce(DataFrame.unionByName, tested), ["a", "b"], "left_anti"), "minhash-fresh")
-        if fresh.isEmpty():
-            if turn == m.rounds or large.isEmpty():
-                break
-            continue
-        tested.append(fresh)
-        links.append(confirmed(fresh, "minhash-links"))
-        if large.isEmpty():
-            break
-    return reduce(DataFrame.unionByName, links)
-
-
-def in_blocks(large: DataFrame, m: MinHash) -> DataFrame:
-    """The exact way for what leaders leave of large buckets: pairs across components, block against block."""
-    blocks = large.withColumn("k", F.ceil(F.col("n") / m.block)).withColumn("i", F.pmod(F.xxhash64("id"), F.col("k")))
-    one = blocks.withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("i")))).select("key", "i", "j", F.col("id").alias("x"), F.col("label").alias("lx"))
-    two = blocks.select("key", F.col("i").alias("j"), F.explode(F.sequence(F.col("i"), F.col("k") - 1)).alias("i"), F.col("id").alias("y"), F.col("label").alias("ly"))
-    both = one.join(two, ["key", "i", "j"]).filter((F.col("lx") != F.col("ly")) & (F.col("x") != F.col("y")))
-    return both.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+    links = confirmed(pairs, "minhash-links")
+    labels = components(links)
+    now = members.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    now = written(now, "minhash-now")
+    open_ = now.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("id").alias("lead")).filter("low <> high")
+    left = written(salted(now, open_.select("key", "n", "lead"), "key", hot), "minhash-left")
+    small, large = left.filter(F.col("n") <= m.small), left.filter(F.col("n") > m.small)
+    x, y = small.select("key", F.col("id").alias("a"), F.col("label").alias("la")), small.select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
+    fresh = x.join(y, "key").filter((F.col("la") != F.col("lb")) & (F.col("a") > F.col("b"))).select("a", "b").distinct()
+    fresh = written(fresh.join(pairs, ["a", "b"], "left_anti"), "minhash-fresh")
+    return reduce(DataFrame.unionByName, [links, confirmed(fresh, "minhash-more"), block_links(large, texts, m)])
+
+
+def block_links(large: DataFrame, texts: DataFrame, m: MinHash) -> DataFrame:
+    """The exact way for what a leader leaves of large buckets: block against block, inside tasks.
+
+    Large buckets that share a document are one crowd, so that a document is in one crowd only.  Its
+    members outside the crowd's largest component are queries, held against all members; only
+    links leave a task, one for each query and component.
+    """
+    crowds = components(large.filter("id <> lead").select(F.col("id").alias("a"), F.col("lead").alias("b")))
+    found = large.select("id", "label").distinct().join(crowds.withColumnRenamed("label", "crowd"), "id")
+    sizes = found.groupBy("crowd", "label").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("crowd").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.sum("n").alias("n"), F.max("n").alias("most"))
+    main = main.withColumn("nq", F.ceil((F.col("n") - F.col("most")) / m.block)).withColumn("nt", F.ceil(F.col("n") / m.block)).filter("nq > 0")
+    d = found.join(main, "crowd").join(texts.dropDuplicates(["id"]), "id")
+    row = lambda q: [F.col("crowd"), F.col("i"), F.col("j"), F.lit(q).alias("query"), "id", "label", "text"]
+    at = lambda k: F.pmod(F.xxhash64("id"), F.col(k))
+    queries = d.filter("label <> main").withColumn("i", at("nq")).withColumn("j", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nt") - 1))).select(*row(True))
+    against = d.withColumn("j", at("nt")).withColumn("i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("nq") - 1))).select(*row(False))
+
+    def compare(part: pa.Table) -> pa.Table:
+        words = Words()
+        sets = [shingles(t.as_py(), m.shingle, words) for t in part.column("text").cast(pa.large_binary())]
+        query = np.array(part.column("query").to_pylist(), bool)
+        ids, label = part.column("id").to_numpy(), part.column("label").to_numpy()
+        rest = np.flatnonzero(~query)
+        size = np.array([len(sets[i]) for i in rest])
+        tokens = np.concatenate([sets[i] for i in rest]) if len(rest) else np.empty(0, U)
+        owner = np.repeat(np.arange(len(rest)), size)
+        order = np.argsort(tokens, kind="stable")
+        tokens, owner = tokens[order], owner[order]
+        a, b = [], []
+        for q in np.flatnonzero(query):
+            lo, hi = np.searchsorted(tokens, sets[q], "left"), np.searchsorted(tokens, sets[q], "right")
+            where = np.repeat(lo - np.concatenate(([0], np.cumsum(hi - lo)[:-1])), hi - lo) + np.arange((hi - lo).sum())
+            both = np.bincount(owner[where], minlength=len(rest))
+            good = np.flatnonzero((100 * both >= m.percent * (size + len(sets[q]) - both)) & (both > 0) & (label[rest] != label[q]))
+            for k in good[np.unique(label[rest][good], return_index=True)[1]]:
+                a.append(max(ids[q], ids[rest[k]]))
+                b.append(min(ids[q], ids[rest[k]]))
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    both = queries.unionByName(against)
+    return written(both.groupBy("crowd", "i", "j").applyInArrow(compare, "a bigint, b bigint"), "minhash-block-links")
 
 
 def grouped(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
@@ -266,7 +284,7 @@ def grouped(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
     # A doc_id whose rows have several sets ties these together.
     ties = mine.groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high").select(F.col("high").alias("a"), F.col("low").alias("b"))
     labels = components(links.unionByName(ties))
-    top = written(heavy(mine, "rep"), "minhash-top")
+    top = heavy(mine, "rep")
     out = salted(mine, labels.select(F.col("id").alias("rep"), "label"), "rep", top, "left")
     out = out.select("id", "n_shingles", F.coalesce("label", "rep").alias("component_id"))
     rest = sig.filter("n_shingles = 0 OR id IS NULL").select("id", "n_shingles", F.col("id").alias("component_id"))
