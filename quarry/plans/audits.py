@@ -84,7 +84,7 @@ def topic_counts(commands: DataFrame) -> DataFrame:
 def target_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     """section, added, removed targets of each command whose targets changed."""
     flat = lambda d: d.select("section", F.array_distinct(F.flatten(F.transform("related_topics", lambda t: t["target_sections"]))).alias("targets"))
-    return edge_changes(flat(before), flat(after), "section", "targets")
+    return edge_changes(flat(before), flat(after), "section", "targets").filter(F.size("added") + F.size("removed") > 0)
 
 
 def warning_review(commands: DataFrame, samples: int = 3) -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from ..functions import udfs as U
 from ..operators import matching as M
 from ..operators import ordered as O
+from . import audits as A
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -287,3 +289,31 @@ def script_scan(t):
 @query("SELECT doc_id, sha256(text) AS digest FROM documents")
 def sha256_text(t):
     return t("documents").select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("digest"))
+
+
+@query(r"""SELECT page_id, list_transform(regexp_extract_all(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), lambda x: replace(replace(replace(replace(replace(trim(regexp_replace(x, '\s+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'))[1] AS heading FROM pages""")
+def html_headings(t):
+    return t("pages").select("page_id", F.get(U.heading_set(1)("html"), F.lit(0)).alias("heading"))
+
+
+@query()
+def html_source_text(t):
+    """The MD5 of each page's text; SQL has no HTML parser."""
+    return t("pages").select("page_id", F.md5(U.source_text("html").cast("binary")).alias("text_md5"))
+
+
+@query("""WITH o AS (SELECT event_type, user_id, min(event_id) AS ord FROM events GROUP BY 1, 2),
+k AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ord, user_id) AS r FROM o)
+SELECT event_type AS category, count(*) AS occurrences, count(DISTINCT user_id) AS commands, (SELECT string_agg(user_id::VARCHAR, ',' ORDER BY r) FROM k WHERE k.event_type = e.event_type AND r <= 3) AS samples FROM events e GROUP BY event_type""")
+def warning_review(t):
+    firsts = t("events").select(F.col("user_id").alias("section"), F.col("event_id").alias("ord"), F.array(F.concat("event_type", F.lit(": "), "event_id")).alias("warnings"))
+    return A.warning_review(firsts).withColumn("samples", F.array_join(F.transform("samples", lambda x: x["section"].cast("string")), ","))
+
+
+@query("""WITH b AS (SELECT o_custkey AS section, list_sort(list_distinct(list(o_orderpriority))) AS p FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1), a AS (SELECT o_custkey AS section, list_sort(list_distinct(list(o_orderpriority))) AS p FROM orders WHERE o_orderkey % 2 = 1 GROUP BY 1),
+j AS (SELECT coalesce(a.section, b.section) AS section, list_filter(coalesce(a.p, []), lambda x: NOT list_contains(coalesce(b.p, []), x)) AS added, list_filter(coalesce(b.p, []), lambda x: NOT list_contains(coalesce(a.p, []), x)) AS removed FROM a FULL JOIN b USING (section))
+SELECT section, array_to_string(added, ',') AS added, array_to_string(removed, ',') AS removed FROM j WHERE len(added) + len(removed) > 0""")
+def edge_diff(t):
+    half = lambda n: t("orders").filter(F.col("o_orderkey") % 2 == n).groupBy(F.col("o_custkey").alias("section")).agg(F.array_sort(F.collect_set("o_orderpriority")).alias("p"))
+    d = M.edge_changes(half(0), half(1), "section", "p").filter(F.size("added") + F.size("removed") > 0)
+    return d.select("section", F.array_join(F.array_sort("added"), ",").alias("added"), F.array_join(F.array_sort("removed"), ",").alias("removed"))
