@@ -1,8 +1,10 @@
 """The pipeline's stages against brute force."""
 
+import random
+
 import corpus_pipeline
 
-from .test_operators import DOCS, doc, prose
+from .test_operators import DOCS, doc, near_brute, prose
 
 
 def test_benchmarks_drops_a_passage_of_one_item(spark, tmp_path):
@@ -12,3 +14,19 @@ def test_benchmarks_drops_a_passage_of_one_item(spark, tmp_path):
     rows = [doc(1, f"{prose(9)} {whole} {prose(9)}"), doc(2, f"{prose(9)} {part}"), doc(3, f"{whole} {part}"), doc(4, prose(40)), doc(5, " ".join(whole.split()[:7])), doc(6, None)]
     out = corpus_pipeline.benchmarks(spark, spark.createDataFrame(rows, DOCS), str(tmp_path))
     assert sorted(r["doc_id"] for r in out.collect()) == [4, 5, 6]
+
+
+def test_near_links_by_five_words(spark):
+    rng = random.Random(8)
+    rows = []
+    for g in range(8):
+        base = prose(120, rng).split()
+        for i in range(5):
+            w = list(base)
+            for at in rng.sample(range(120), (0, 1, 3, 6, 9)[i]):
+                w[at] = f"w{rng.random()}"
+            rows.append(doc(10 * g + i, " ".join(w)))
+    two, five = ({i for i, (_, c) in near_brute(rows, k).items() if c == i} for k in (2, 5))
+    assert two < five
+    out = corpus_pipeline.near(spark, spark.createDataFrame(rows, DOCS), "")
+    assert {r["doc_id"] for r in out.collect()} == five
