@@ -18,7 +18,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
@@ -155,11 +155,11 @@ class Block:
         return False
 
 
-INDEX = "ids array<bigint>, starts array<bigint>, counts array<bigint>, df binary, postings binary"
+INDEX = "rows array<bigint>, ids array<bigint>, starts array<bigint>, counts array<bigint>, df binary, postings binary"
 
 
 def indexer(terms: dict[bytes, int], s: Search):
-    """A function for mapInArrow: row number, text to a row of INDEX for each block of documents."""
+    """A function for mapInArrow: row number, id, text to a row of INDEX for each block of documents."""
     gap = s.window + s.slop
 
     def blocks(column: pa.Array) -> Iterator[tuple[int, int]]:
@@ -175,22 +175,22 @@ def indexer(terms: dict[bytes, int], s: Search):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).cast(pa.large_binary())
+            texts = batch.column(2).cast(pa.large_binary())
             for a, b in blocks(texts):
                 block = Block.of(texts.slice(a, b - a).to_pylist(), terms, gap)
                 one = lambda x, kind: pa.array([x], kind)
                 longs = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays([one(batch.column(0).slice(a, b - a).to_pylist(), longs), one(block.starts, longs), one(block.counts, longs), one(block.df.astype("<i4").tobytes(), pa.binary()), one((block.keys & ((np.int64(1) << Block.SHIFT) - 1)).astype("<i4").tobytes(), pa.binary())], ["ids", "starts", "counts", "df", "postings"])
+                yield pa.RecordBatch.from_arrays([one(batch.column(0).slice(a, b - a).to_pylist(), longs), one(batch.column(1).slice(a, b - a).to_pylist(), longs), one(block.starts, longs), one(block.counts, longs), one(block.df.astype("<i4").tobytes(), pa.binary()), one((block.keys & ((np.int64(1) << Block.SHIFT) - 1)).astype("<i4").tobytes(), pa.binary())], ["rows", "ids", "starts", "counts", "df", "postings"])
 
     return run
 
 
 def searcher(p: Phrases, s: Search):
-    """A function for mapInArrow: rows of INDEX to the documents' id, n_words, spans of hits, exact items, near items."""
+    """A function for mapInArrow: rows of INDEX to the documents' row number, id, n_words, spans of hits, exact items, near items."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, starts, counts, df, postings in zip(*(batch.column(i) for i in range(5)), strict=True):
+            for rows, ids, starts, counts, df, postings in zip(*(batch.column(i) for i in range(6)), strict=True):
                 df = np.frombuffer(df.as_py(), "<i4").astype(np.int64)
                 keys = (np.repeat(np.arange(len(df), dtype=np.int64), df) << Block.SHIFT) | np.frombuffer(postings.as_py(), "<i4")
                 block = Block(keys, df, starts.values.to_numpy(), counts.values.to_numpy())
@@ -209,7 +209,7 @@ def searcher(p: Phrases, s: Search):
                         close[d].update(p.of[i])
                 named = lambda found: pa.array([[p.items[i] for i in sorted(x)] for x in found], pa.list_(pa.int64()))
                 ranges = [[{"a": x, "b": y} for x, y in merged(r)] for r in spans]
-                yield pa.RecordBatch.from_arrays([pa.array(ids.values), pa.array(block.counts), pa.array(ranges, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), named(hits), named(close)], ["id", "n_words", "spans", "items", "near_items"])
+                yield pa.RecordBatch.from_arrays([rows.values, ids.values, pa.array(block.counts), pa.array(ranges, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), named(hits), named(close)], ["row", "id", "n_words", "spans", "items", "near_items"])
 
     return run
 
@@ -224,14 +224,33 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def parts(bench: DataFrame, s: Search) -> Iterator[list[tuple[int, str]]]:
-    """The test set in parts of bounded bytes; each is read to the driver alone."""
+def parts(bench: DataFrame, s: Search) -> tuple[int, Iterator[list[tuple[int, str]]]]:
+    """The test set in parts of bounded bytes, and their number; each is read to the driver alone."""
     b = bench.select(F.col("item_id").cast("long").alias("item"), "text").filter("text IS NOT NULL")
     total = b.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0)).alias("n")).first()["n"]
     n = max(1, -(-2 * total // s.part_bytes))
     b = written(b.select("*", F.pmod(F.xxhash64("item", "text"), F.lit(n)).alias("part")), "bench-parts")
-    for i in range(n):
-        yield sorted((r["item"], r["text"]) for r in b.filter(F.col("part") == i).toLocalIterator())
+    return n, (sorted((r["item"], r["text"]) for r in b.filter(F.col("part") == i).toLocalIterator()) for i in range(n))
+
+
+def numbered(docs: DataFrame, *columns: Column) -> DataFrame:
+    """The columns with a unique number for each row in `row`; the numbers hold only once they are written."""
+    return docs.select(F.monotonically_increasing_id().alias("row"), *columns)
+
+
+def searched_rows(rows: DataFrame, n: int, cut: Iterator[list[tuple[int, str]]], s: Search) -> DataFrame:
+    """row, id, n_words, spans, items, near_items of rows with row, id, text; their numbers must be written if n > 1."""
+    schema = "row bigint, id bigint, n_words bigint, spans array<struct<a:bigint,b:bigint>>, items array<bigint>, near_items array<bigint>"
+    found = []
+    for items in cut:
+        p = Phrases(items, s)
+        index = rows.select("row", "id", "text").mapInArrow(indexer(p.terms, s), INDEX)
+        found.append(written(index, "bench-index").mapInArrow(searcher(p, s), schema))
+    if n == 1:
+        return found[0]
+    d = written(reduce(DataFrame.unionByName, found), "bench-found")
+    flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
+    return d.groupBy("row", "id", "n_words").agg(flat("spans"), flat("items"), flat("near_items"))
 
 
 def searched(docs: DataFrame, bench: DataFrame, s: Search = Search()) -> DataFrame:
@@ -241,28 +260,26 @@ def searched(docs: DataFrame, bench: DataFrame, s: Search = Search()) -> DataFra
     that repeat count once.  Repeated rows of docs are searched each on its own.  Columns beside
     doc_id and text are not read.
     """
-    schema = "id bigint, n_words bigint, spans array<struct<a:bigint,b:bigint>>, items array<bigint>, near_items array<bigint>"
-    found = []
-    for items in parts(bench, s):
-        p = Phrases(items, s)
-        index = docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(indexer(p.terms, s), INDEX)
-        found.append(written(index, "bench-index").mapInArrow(searcher(p, s), schema))
-    if len(found) == 1:
-        return found[0]
-    rows = written(reduce(DataFrame.unionByName, found), "bench-found")
-    # Rows that repeat a doc_id are told apart by nothing, and give the same results if they are the same.
-    flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c))))
-    return rows.groupBy("id", "n_words").agg(flat("spans").alias("spans"), flat("items").alias("items"), flat("near_items").alias("near_items"))
+    n, cut = parts(bench, s)
+    rows = numbered(docs, F.col("doc_id").cast("long").alias("id"), F.col("text"))
+    if n > 1:  # the parts' results meet by the number
+        rows = written(rows, "bench-rows")
+    return searched_rows(rows, n, cut, s).drop("row")
 
 
 def verdicts(docs: DataFrame, bench: DataFrame, s: Search = Search()) -> DataFrame:
     """id, n_words, n_hit, n_items, items_sha256, n_near, contaminated."""
-    d = searched(docs, bench, s)
+    return judged(searched(docs, bench, s), s)
+
+
+def judged(d: DataFrame, s: Search, *also: str) -> DataFrame:
+    """The verdicts on what a search found, with the columns in `also` before them."""
     named = F.array_join(F.array_sort(F.transform(F.array_distinct("items"), lambda x: x.cast("string"))), ",")
     step = lambda acc, x: F.struct((acc["n"] + F.greatest(x["b"] - F.greatest(x["a"], acc["end"]), F.lit(0))).alias("n"), F.greatest(acc["end"], x["b"]).alias("end"))
     zero = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("end"))
     n_items = F.size(F.array_distinct("items")).cast("long")
     return d.select(
+        *also,
         "id",
         "n_words",
         F.aggregate("spans", zero, step)["n"].alias("n_hit"),

@@ -4,6 +4,8 @@ import random
 
 import corpus_pipeline
 
+from quarry.llm import decontaminate
+
 from .test_operators import DOCS, doc, near_brute, prose
 
 
@@ -30,3 +32,20 @@ def test_near_links_by_five_words(spark):
     assert two < five
     out = corpus_pipeline.near(spark, spark.createDataFrame(rows, DOCS), "")
     assert {r["doc_id"] for r in out.collect()} == five
+
+
+def odd_rows(spark):
+    """Two items in separate parts, and documents that share a doc_id (or have none) and a number of words."""
+    items = [(1, prose(20)), (2, prose(20)), (3, prose(20)), (4, prose(20))]
+    a, b = items[0][1], items[1][1]
+    clean = prose(40)
+    rows = [doc(None, f"{a} {b}"), doc(None, clean), doc(None, clean), doc(7, f"{b} {prose(20)}"), doc(7, f"{b} {prose(20)}"), doc(7, prose(40)), doc(8, clean), doc(9, None), doc(9, None)]
+    return spark.createDataFrame(rows, DOCS), rows, spark.createDataFrame(items, "item_id bigint, text string")
+
+
+def test_parts_give_each_row_its_own_verdict(spark):
+    docs, rows, bench = odd_rows(spark)
+    key = lambda s: sorted(((r["id"] or 0, r["n_words"], r["n_hit"], r["items_sha256"], r["n_near"], r["contaminated"]) for r in decontaminate.verdicts(docs, bench, s).collect()))
+    one = key(decontaminate.Search())
+    assert len(one) == len(rows) and [x[3:] for x in one if x[-1]] != []
+    assert key(decontaminate.Search(part_bytes=300)) == one
