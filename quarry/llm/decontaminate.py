@@ -295,9 +295,9 @@ def contaminated_ids(docs: DataFrame, bench: DataFrame, s: Search = Search()) ->
 
 
 def decontaminated(docs: DataFrame, bench: DataFrame, s: Search = Search()) -> DataFrame:
-    """The documents without the contaminated ones."""
-    bad = written(contaminated_ids(docs, bench, s), "bench-bad").withColumnRenamed("id", "__bad")
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    return d.join(bad, F.col("row.doc_id").cast("long") == F.col("__bad"), "left_anti").select("row.*")
-
-
+    """The documents without the contaminated ones; each row is judged by its own text, whatever its doc_id."""
+    n, cut = parts(bench, s)
+    d = written(numbered(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "bench-rows")
+    found = searched_rows(d.select("row", F.col("doc.doc_id").cast("long").alias("id"), F.col("doc.text").alias("text")), n, cut, s)
+    bad = written(judged(found, s, "row").filter("contaminated").select(F.col("row").alias("__bad")), "bench-bad")
+    return d.join(bad, F.col("row") == F.col("__bad"), "left_anti").select("doc.*")

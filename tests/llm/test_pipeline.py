@@ -49,3 +49,12 @@ def test_parts_give_each_row_its_own_verdict(spark):
     one = key(decontaminate.Search())
     assert len(one) == len(rows) and [x[3:] for x in one if x[-1]] != []
     assert key(decontaminate.Search(part_bytes=300)) == one
+
+
+def test_decontaminated_judges_rows_without_an_id(spark):
+    docs, rows, bench = odd_rows(spark)
+    for part_bytes in (8_000_000, 300):
+        out = decontaminate.decontaminated(docs, bench, decontaminate.Search(min_items=1, part_bytes=part_bytes))
+        left = [r for i, r in enumerate(rows) if i not in (0, 3, 4)]
+        assert out.columns == docs.columns
+        assert sorted((r["doc_id"] or 0, r["text"] or "") for r in out.collect()) == sorted((r[0] or 0, r[1] or "") for r in left)
