@@ -5,31 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import decontaminate, line_dedup, mixing, near_dedup, quality_rules
-from quarry.llm.common import table, written
+from quarry.llm.common import scratch, spent, table, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality rules keep."""
+    """The documents that the quality rules keep.
+
+    Null, empty and very short texts fail the rules.  Each row is judged by its own text, so repeated
+    rows and rows that share an id or have none stay or go each on its own.  An empty table stays
+    empty; other columns pass through whatever their names.  So do they in all stages.
+    """
     return quality_rules.keep_good(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without boilerplate lines; n_chars follows the text."""
+    """The documents without boilerplate lines; n_chars follows the text.
+
+    Null texts stay; a document of which no word is left goes.  Of the documents that have a
+    boilerplate line the first by doc_id keeps it, in all its rows; those without an id are never the first.
+    """
     return line_dedup.without_boilerplate(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, by shingles of five words; op3's two are its query's own."""
+    """One document of each group of near duplicates, by shingles of five words; op3's two are its query's own.
+
+    Documents without words, and those without an id, are linked with nothing and stay.  Rows that
+    share an id are one document, of which one row stays.
+    """
     return near_dedup.one_of_each(docs, near_dedup.MinHash(shingle=5))
 
 
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no passage of any benchmark item: one is a leak here, while op4's column asks for two."""
+    """The documents that hold no passage of any benchmark item: one is a leak here, while op4's column asks for two.
+
+    Each row is judged by its own text; null and empty texts have no passages and stay.  Items
+    without words match nothing, and without items all documents stay.
+    """
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"), decontaminate.Search(min_items=1))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: the documents that are taken, with `copies`."""
+    """The mix: the documents that are taken, with `copies`.
+
+    Documents without words are never taken.  Null sources are one source.  Repeated rows count
+    each; of rows that agree in every column as many are taken as the budget reaches.
+    """
     return mixing.mix(docs)
 
 
@@ -41,7 +62,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each one's result written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with scratch(spark, keep=f"pipeline-{name}"):
+            now = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if last is not None:
+            spent(last)
+        docs = last = now
     return STAGES[-1][1](spark, docs, sf_dir)

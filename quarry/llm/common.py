@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: White space that separates words, as the inside of a regex class.
 SPACE = r"\x20\x09-\x0D"
+#: Folders of the tables written so far and not deleted.
+TABLES: list[str] = []
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -22,7 +24,6 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='quarry-')}"
         spark.conf.set("spark.checkpoint.dir", found)
-    spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
@@ -30,7 +31,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """df as a Parquet table in the shared folder: lineage ends there, lost executors cost nothing, and its size is known."""
     path = f"{shared_dir(df.sparkSession)}/quarry/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    TABLES.append(path)
+    return out
+
+
+def delete(spark: SparkSession, *paths: str) -> None:
+    """Deletes folders of written tables wherever they lie."""
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        if path in TABLES:
+            TABLES.remove(path)
+
+
+def spent(*tables: DataFrame) -> None:
+    """Deletes written tables that no plan still to be run reads."""
+    for df in tables:
+        delete(df.sparkSession, df.written_to)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

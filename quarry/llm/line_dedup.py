@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, salted, written
+from .common import SPACE, salted, spent, written
 
 
 @dataclass(frozen=True)
@@ -49,14 +49,19 @@ def line_hash(line: Column) -> Column:
 
 
 def occurrences(docs: DataFrame, s: Spread) -> DataFrame:
-    """id, site, h: each document's distinct eligible lines."""
-    hashes = F.array_distinct(F.transform(F.filter(lines_of(F.col("text")), lambda x: eligible(x, s.min_words)), line_hash))
-    return docs.select(F.col("doc_id").alias("id"), F.col("source").cast("string").alias("site"), F.explode(hashes).alias("h"))
+    """id, t, site, h, pos: each eligible line of each document; t is a hash of the text, so that id and t know a row."""
+    text = F.col("text")
+    each = F.transform(lines_of(text), lambda x, i: F.when(eligible(x, s.min_words), F.struct(line_hash(x).alias("h"), i.alias("pos"))))
+    d = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text).alias("t"), F.col("source").cast("string").alias("site"), F.explode(F.filter(each, lambda x: x.isNotNull())).alias("x"))
+    return d.select("id", "t", "site", "x.*")
 
 
 def boilerplate(docs: DataFrame, s: Spread = Spread()) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(lines, found, hot): h, n_sites, first_id of the boilerplate lines; id and h where shared lines stand; the heavy lines' h."""
-    seen = occurrences(docs, s)
+    """(lines, found, hot): h, n_sites, first_id, first_t of the boilerplate lines; id, t, h, pos where shared lines stand; the heavy lines' h.
+
+    The first is the least id that has the line, and only among rows without one the least t.
+    """
+    seen = written(occurrences(docs, s), "lines-seen")
     site = F.xxhash64("site")
     known = F.col("site").isNotNull()
     shared = seen.groupBy("h").agg(F.min(F.when(known, site)).alias("a"), F.max(F.when(known, site)).alias("b"), F.count("*").alias("n")).filter("a <> b").select("h", "n")
@@ -64,40 +69,44 @@ def boilerplate(docs: DataFrame, s: Spread = Spread()) -> tuple[DataFrame, DataF
     total = shared.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     hot = shared.filter(F.col("n") > max(1000, s.heavy * total)).select("h")
     found = written(salted(seen, shared.select("h"), "h", hot), "lines-found")
-    spread = found.groupBy("h").agg(F.hll_sketch_agg("site", F.lit(s.lg_k)).alias("sketch"), F.min("id").alias("first_id"))
-    spread = written(spread.select("h", "first_id", F.hll_sketch_estimate("sketch").alias("n_sites")), "lines-spread")
+    spent(seen)
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", F.when(F.col("id").isNull(), F.col("t")).alias("t"))).alias("first")
+    spread = found.groupBy("h").agg(F.hll_sketch_agg("site", F.lit(s.lg_k)).alias("sketch"), first)
+    spread = written(spread.select("h", F.col("first.id").alias("first_id"), F.col("first.t").alias("first_t"), F.hll_sketch_estimate("sketch").alias("n_sites")), "lines-spread")
     band = max(1.0, s.near * s.min_sites)
     near = F.abs(F.col("n_sites") - s.min_sites) <= band
     pairs = found.join(spread.filter(near).select("h"), "h", "left_semi").filter("site IS NOT NULL").groupBy("h", "site").agg(F.lit(1).alias("one"))
     exact = pairs.groupBy("h").agg(F.count("*").alias("n_sites"))
-    exact = exact.join(spread.select("h", "first_id"), "h").select("h", "first_id", "n_sites")
-    both = spread.filter(~near).select("h", "first_id", "n_sites").unionByName(exact)
-    return written(both.filter(F.col("n_sites") >= s.min_sites), "lines-boilerplate"), found.select("id", "h"), hot
+    exact = exact.join(spread.select("h", "first_id", "first_t"), "h").select("h", "first_id", "first_t", "n_sites")
+    both = spread.filter(~near).select("h", "first_id", "first_t", "n_sites").unionByName(exact)
+    lines = written(both.filter(F.col("n_sites") >= s.min_sites), "lines-boilerplate")
+    spent(spread)
+    return lines, found.select("id", "t", "h", "pos"), hot
 
 
 def cleaned(docs: DataFrame, s: Spread = Spread()) -> DataFrame:
     """`row` (the document as it came), `clean` (its text without boilerplate), n_lines, n_removed.
 
     Lines are compared without white space at their ends.  A null text stays null, with no lines;
-    an empty text has one empty line.  A null source counts as no site.  Rows that repeat, or that
-    share a doc_id, lose the same lines; with null doc_ids none is the first to keep a line.
-    Columns beside doc_id, text and source pass through in `row` whatever their names.
+    an empty text has one empty line.  A null source counts as no site.  Rows that repeat lose the
+    same lines; all rows of the first doc_id keep theirs.  A row without a doc_id is first only
+    where no row with one has the line, and then by a hash of its text.  Columns beside doc_id,
+    text and source pass through in `row` whatever their names; an empty table stays empty.
     """
     lines, found, hot = boilerplate(docs, s)
-    hits = salted(found, lines.select("h", "first_id"), "h", hot).filter(~F.col("id").eqNullSafe(F.col("first_id")))
-    bad = hits.groupBy("id").agg(F.collect_set("h").alias("bad"))  # no more than one document's lines
+    first = F.col("first_id").eqNullSafe(F.col("id")) & (F.col("id").isNotNull() | (F.col("first_t") == F.col("t")))
+    hits = salted(found, lines.select("h", "first_id", "first_t"), "h", hot).filter(~first)
+    bad = hits.groupBy(F.col("id").alias("__id"), F.col("t").alias("__t")).agg(F.collect_set("pos").alias("bad"))  # no more than one document's lines
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    d = d.join(bad, F.col("row.doc_id").eqNullSafe(F.col("id")), "left").select("row", "bad")
-    all_lines = lines_of(F.col("row.text"))
-    kept = F.filter(all_lines, lambda x: ~(eligible(x, s.min_words) & F.array_contains("bad", line_hash(x))))
-    d = d.withColumn("__kept", F.when(F.col("bad").isNotNull(), kept))
-    n = F.coalesce(F.size(all_lines), F.lit(0)).cast("long")
-    n = F.when(F.col("row.text").isNull(), F.lit(0).cast("long")).otherwise(n)
+    d = d.join(bad, F.col("row.doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("row.text") == F.col("__t")), "left").select("row", "bad")
+    d = d.withColumn("all", lines_of(F.col("row.text")))
+    left = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), "bad")
+    d = d.withColumn("kept", F.when(F.col("bad").isNotNull(), F.transform(left, lambda i: F.get(F.col("all"), i))))
     return d.select(
         "row",
-        F.when(F.col("__kept").isNotNull(), F.array_join("__kept", "\n")).otherwise(F.col("row.text")).alias("clean"),
-        n.alias("n_lines"),
-        F.when(F.col("__kept").isNotNull(), F.size(all_lines) - F.size("__kept")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
+        F.when(F.col("kept").isNotNull(), F.array_join("kept", "\n")).otherwise(F.col("row.text")).alias("clean"),
+        F.when(F.col("all").isNull(), F.lit(0)).otherwise(F.size("all")).cast("long").alias("n_lines"),
+        F.when(F.col("bad").isNull(), F.lit(0)).otherwise(F.size("bad")).cast("long").alias("n_removed"),
     )
 
 

@@ -7,14 +7,17 @@ may reach the threshold are confirmed on the full sets.
 
 Equal sets are one class from the start.  Within a bucket, members are held against a leader (a
 star, not all pairs); only members that are then still in different components are held against
-others: in pairs across components if the bucket is small, in blocks inside tasks if it is large.
-So each pair of a bucket is either confirmed, refuted, or already connected.  Components spread by labels; nothing is collected.
+others.  A small bucket is paired across its components.  The members of large ones are banded
+anew by longer bands, which only closer texts share, and their buckets are treated alike; what is
+large even there is compared in blocks inside tasks.  So each pair of a bucket is either confirmed,
+refuted, already connected, or met again in the longer bands.  Components spread by labels;
+nothing is collected.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
@@ -23,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import heavy, salted, written
+from .common import heavy, salted, spent, written
 
 U = np.uint64
 LANES = 0x1111111111111111
@@ -40,8 +43,12 @@ class MinHash:
     #: Packed lanes of 4 bits; pairs estimated this far below the threshold (6 standard deviations) are refuted.
     bits: int = 4
     margin: float = 0.24
-    #: What leaders leave of buckets up to this size is paired across components, of larger ones compared in blocks of so many.
+    #: What leaders leave of buckets up to this size is paired across components; larger ones are banded anew.
     small: int = 32
+    #: 96 bands of 8 minima miss a pair at 0.8 with a chance of 2e-8; a pair at 0.5 shares one of them with 0.3.
+    long_bands: int = 96
+    long_rows: int = 8
+    #: What is large in the longer bands too is compared in blocks of so many.
     block: int = 1024
     seed: int = 11
 
@@ -76,6 +83,9 @@ def shingles(text: bytes | None, k: int, words: Words) -> np.ndarray:
     return np.unique(out)
 
 
+SIGNATURE = "id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, packed array<bigint>"
+
+
 def signer(m: MinHash):
     """A function for mapInArrow: id, text to id, n_shingles, set_a, set_b, bands, packed."""
     n = m.bands * m.rows
@@ -164,33 +174,47 @@ def components(links: DataFrame) -> DataFrame:
     edges = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     edges = written(edges, "cc-edges")
     hot = heavy(edges, "a")
-    labels = written(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "id"), "cc-labels")
+    last = written(edges.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "id"), "cc-labels")
     while True:
+        labels = last.select("id", "label")
         mine = labels.select(F.col("id").alias("a"), "label")
         sent = salted(edges, mine, "a", hot).groupBy("b").agg(F.min("label").alias("got"))
         near = labels.join(sent, labels["id"] == sent["b"], "left").select("id", F.col("label").alias("was"), F.least("label", F.coalesce("got", "label")).alias("l"))
         near = written(near, "cc-near")
         top = heavy(near, "l")
         far = near.select(F.col("id").alias("l"), F.col("l").alias("next"))
-        labels = written(salted(near, far, "l", top, "left").select("id", F.coalesce("next", "l").alias("label"), "was"), "cc-labels")
-        if labels.filter("label <> was").isEmpty():
-            return labels.select("id", "label")
-        labels = labels.select("id", "label")
+        now = written(salted(near, far, "l", top, "left").select("id", F.coalesce("next", "l").alias("label"), "was"), "cc-labels")
+        spent(near, last)
+        last = now
+        if last.filter("label <> was").isEmpty():
+            spent(edges)
+            return last.select("id", "label")
 
 
 def signed(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
     """The signature table of the documents."""
-    schema = "id bigint, n_shingles bigint, set_a bigint, set_b bigint, bands array<bigint>, packed array<bigint>"
-    return written(docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(signer(m), schema), "minhash-signatures")
+    return written(docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(signer(m), SIGNATURE), "minhash-signatures")
 
 
-def near_links(docs: DataFrame, reps: DataFrame, m: MinHash = MinHash()) -> DataFrame:
-    """a, b: links that connect whatever confirmed pairs connect.  reps: id, bands, packed of one document for each set."""
-    keys = reps.select("id", F.explode("bands").alias("key"))
+def bucketed(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members, hot): key, id, n and leader b of the buckets that two ids share at least; the heavy keys.  keys: id, key."""
     buckets = written(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("b")).filter("n > 1"), "minhash-buckets")
     total = buckets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
-    hot = buckets.filter(F.col("n") > max(1000, 0.001 * total)).select("key")
+    hot = heavy_of(buckets, total)
     members = written(salted(keys, buckets, "key", hot).select("key", "id", "n", "b"), "minhash-members")
+    spent(buckets)
+    return members, hot
+
+
+def heavy_of(buckets: DataFrame, total: int) -> DataFrame:
+    """The keys of buckets with over a thousandth of all entries: a thousand at most, so they pass through the driver."""
+    n = buckets.filter(F.col("n") > max(1000, 0.001 * total)).select("key")
+    return buckets.sparkSession.createDataFrame(n.collect() if total > 1000 else [], n.schema)
+
+
+def near_links(docs: DataFrame, reps: DataFrame, m: MinHash = MinHash()) -> DataFrame:
+    """a, b: links that connect whatever confirmed pairs connect.  reps: id, bands, packed of one document for each set."""
+    members, hot = bucketed(reps.select("id", F.explode("bands").alias("key")))
     packed = written(reps.select("id", "packed").join(members.select("id").distinct(), "id", "left_semi"), "minhash-packed")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(members.select("id").distinct(), "id", "left_semi")
     texts = written(texts, "minhash-texts")
@@ -201,27 +225,51 @@ def near_links(docs: DataFrame, reps: DataFrame, m: MinHash = MinHash()) -> Data
         p = pairs.join(packed.select(F.col("id").alias("a"), F.col("packed").alias("pa")), "a")
         p = salted(p, packed.select(F.col("id").alias("b"), F.col("packed").alias("pb")), "b", crowd)
         p = p.filter(estimated(F.col("pa"), F.col("pb"), m) >= m.percent / 100 - m.margin).select("a", "b")
-        p = written(p, "minhash-likely")
-        p = p.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+        likely = written(p, "minhash-likely")
+        p = likely.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
         p = salted(p, texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b", crowd)
-        return written(p.select("a", "b", "ta", "tb").mapInArrow(confirmer(m), "a bigint, b bigint"), name)
-
-    pairs = written(members.filter("id <> b").select(F.col("id").alias("a"), "b").distinct(), "minhash-stars")
-    links = confirmed(pairs, "minhash-links")
-    labels = components(links)
-    now = members.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-    now = written(now, "minhash-now")
-    open_ = now.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("id").alias("lead")).filter("low <> high")
-    left = written(salted(now, open_.select("key", "n", "lead"), "key", hot), "minhash-left")
-    small, large = left.filter(F.col("n") <= m.small), left.filter(F.col("n") > m.small)
-    x, y = small.select("key", F.col("id").alias("a"), F.col("label").alias("la")), small.select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
-    fresh = x.join(y, "key").filter((F.col("la") != F.col("lb")) & (F.col("a") > F.col("b"))).select("a", "b").distinct()
-    fresh = written(fresh.join(pairs, ["a", "b"], "left_anti"), "minhash-fresh")
-    return reduce(DataFrame.unionByName, [links, confirmed(fresh, "minhash-more"), block_links(large, texts, m)])
+        out = written(p.select("a", "b", "ta", "tb").mapInArrow(confirmer(m), "a bigint, b bigint"), name)
+        spent(likely)
+        return out
+
+    def connected(members: DataFrame, hot: DataFrame, stars: DataFrame, before: list[DataFrame]) -> tuple[list[DataFrame], DataFrame]:
+        """(links, large): those that leaders and small buckets give; key, id, label, lead of the large buckets still open."""
+        stars = written(stars.distinct(), "minhash-stars")
+        links = [*before, confirmed(stars, "minhash-links")]
+        labels = components(reduce(DataFrame.unionByName, links))
+        now = members.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+        now = written(now, "minhash-now")
+        open_ = now.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("id").alias("lead")).filter("low <> high")
+        left = written(salted(now, open_.select("key", "n", "lead"), "key", hot), "minhash-left")
+        small, large = left.filter(F.col("n") <= m.small), left.filter(F.col("n") > m.small)
+        x, y = small.select("key", F.col("id").alias("a"), F.col("label").alias("la")), small.select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
+        fresh = x.join(y, "key").filter((F.col("la") != F.col("lb")) & (F.col("a") > F.col("b"))).select("a", "b").distinct()
+        fresh = written(fresh.join(stars, ["a", "b"], "left_anti"), "minhash-fresh")
+        links.append(confirmed(fresh, "minhash-more"))
+        spent(stars, now, fresh)
+        return links, large
+
+    links, large = connected(members, hot, members.filter("id <> b").select(F.col("id").alias("a"), "b"), [])
+    spent(members)
+    if not large.isEmpty():
+        far = replace(m, bands=m.long_bands, rows=m.long_rows)
+        crowd = written(large.select("id", "label").distinct(), "minhash-crowd")
+        again = texts.dropDuplicates(["id"]).join(crowd.select("id"), "id", "left_semi").select("id", "text").mapInArrow(signer(far), SIGNATURE)
+        again = written(again.select("id", F.explode("bands").alias("key")).join(crowd, "id"), "minhash-long")
+        # Buckets within one component are settled.
+        split = again.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).filter("low <> high")
+        mixed_keys = written(salted(again, split.select("key"), "key", heavy_of(split, again.count())), "minhash-split")
+        members, hot = bucketed(mixed_keys.select("id", "key"))
+        stars = members.join(crowd, "id").join(crowd.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b").filter("label <> lb").select(F.col("id").alias("a"), "b")
+        links, large = connected(members, hot, stars, links)
+        links.append(block_links(large, texts, m))
+        spent(crowd, again, mixed_keys, members)
+    spent(texts, packed)
+    return reduce(DataFrame.unionByName, links)
 
 
 def block_links(large: DataFrame, texts: DataFrame, m: MinHash) -> DataFrame:
-    """The exact way for what a leader leaves of large buckets: block against block, inside tasks.
+    """The exact way for buckets of the longer bands that are large and still open: block against block, inside tasks.
 
     Large buckets that share a document are one crowd, so that a document is in one crowd only.  Its
     members outside the crowd's largest component are queries, held against all members; only
@@ -284,6 +332,7 @@ def grouped(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
     # A doc_id whose rows have several sets ties these together.
     ties = mine.groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low <> high").select(F.col("high").alias("a"), F.col("low").alias("b"))
     labels = components(links.unionByName(ties))
+    spent(reps)
     top = heavy(mine, "rep")
     out = salted(mine, labels.select(F.col("id").alias("rep"), "label"), "rep", top, "left")
     out = out.select("id", "n_shingles", F.coalesce("label", "rep").alias("component_id"))
@@ -292,11 +341,18 @@ def grouped(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
-    """The documents with only the first of each group of near duplicates, one row each."""
-    found = grouped(docs, m).filter("kept").select("id").distinct()
+    """The documents with only the first of each group of near duplicates, one row each.
+
+    Of rows that share a doc_id the one with the least text stays (nulls first), and of equal texts
+    any: they differ in other columns at most.  Rows without an id stay, all of them.
+    """
+    found = written(grouped(docs, m).filter("kept").select("id").distinct(), "minhash-kept")
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     d = d.join(found, F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")), "left_semi")
-    ids = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
+    ids = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("k"))
+    ids = written(ids, "minhash-repeated")
     if not ids.isEmpty():
-        d = d.filter("row.doc_id IS NULL").unionByName(d.filter("row.doc_id IS NOT NULL").withColumn("k", F.col("row.doc_id")).dropDuplicates(["k"]).drop("k"))
+        again = d.join(ids, F.col("row.doc_id") == F.col("k"))
+        first = again.groupBy("k").agg(F.min_by("row", F.struct(F.col("row.text").isNotNull(), "row.text")).alias("row")).select("row")
+        d = d.join(ids, F.col("row.doc_id") == F.col("k"), "left_anti").unionByName(first)
     return d.select("row.*")

@@ -62,7 +62,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = mixing.mixed(table(spark, sf_dir, "documents"))
-    return d.select("row.doc_id", "size", "source_size", "target", "taken")
+    return d.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
