@@ -30,12 +30,6 @@ def topic_key(title: Column) -> Column:
     return casefold(unwrap(title))
 
 
-def title_aliases(title: Column) -> Column:
-    """The key of a title, and the key without a final remark in parentheses."""
-    key = topic_key(title)
-    return F.array_sort(F.array_distinct(F.array(key, F.regexp_replace(key, r"\s+\([^)]*\)$", ""))))
-
-
 def words(text: Column) -> Column:
     """Letters and digits, folded."""
     return F.regexp_extract_all(casefold(text), F.lit(r"(?U)([^\W_]+)"), F.lit(1))

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 from ..functions import grammar, text
+from ..functions.udfs import key_of
 from ..operators import links
 from ..operators.topics import parameter_topics
 from . import corpus
@@ -109,19 +110,17 @@ def merged_record(raw: pd.Series, topics: pd.Series, issues: pd.Series) -> pd.Se
 
 def declared_topics(commands: DataFrame, names: links.Names) -> DataFrame:
     """src, ord and the topics that records carry themselves, numbered lists split, targets by number or name."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = []
-            for src, topics in zip(b["section"], b["topics"], strict=True):
-                entries = ((t, title, number) for t in json.loads(topics) for title, number in links.declared(t["title"]))
-                for n, (t, title, number) in enumerate(entries):
-                    found = [number] if number else t.get("target_sections") or names.sections.get(links.topic_key(title), [])
-                    rows.append((src, n, title, t.get("description") or "", t.get("source_section") or "", [x for x in found if x != src], [], t.get("reference_kind") or "documented_reference"))
-            yield pd.DataFrame(rows, columns=["src", "ord", *[c.split()[0] for c in links.TOPIC.split(", ")]])
-
     own = F.filter("related_topics", lambda t: ~t["source_section"].isin(*links.INFERRED))
-    return commands.select("section", F.to_json(own).alias("topics")).mapInPandas(run, f"src string, ord int, {links.TOPIC}")
+    d = commands.select(F.col("section").alias("src"), F.posexplode(own).alias("place", "t"))
+    d = d.select("src", "place", "t", F.posexplode(links.declared(F.col("t.title"))).alias("pos", "entry")).withColumn("key", key_of("entry.title"))
+    d = d.join(names.targets.withColumnRenamed("name", "key"), "key", "left")
+    none = F.array().cast("array<string>")
+    said = F.coalesce("t.target_sections", none)
+    found = F.when(F.col("entry.section").isNotNull(), F.array("entry.section")).when(F.size(said) > 0, said).otherwise(F.coalesce("sections", none))
+    ord_ = F.row_number().over(Window.partitionBy("src").orderBy("place", "pos")) - 1
+    or_empty = lambda c: F.coalesce(c, F.lit("")).alias(c.split(".")[1])
+    kind = F.when(F.coalesce("t.reference_kind", F.lit("")) == "", F.lit("documented_reference")).otherwise(F.col("t.reference_kind")).alias("reference_kind")
+    return d.select("src", ord_.alias("ord"), F.col("entry.title").alias("title"), or_empty("t.description"), or_empty("t.source_section"), F.filter(found, lambda x: x != F.col("src")).alias("target_sections"), none.alias("target_files"), kind)
 
 
 def enriched(commands: DataFrame) -> DataFrame:
