@@ -24,6 +24,7 @@ from ..functions import grammar, text
 from ..functions.udfs import key_of
 from ..operators import links
 from ..operators.topics import parameter_topics
+from ..tables import settled
 from . import corpus
 
 
@@ -113,7 +114,7 @@ def declared_topics(commands: DataFrame, names: links.Names) -> DataFrame:
     own = F.filter("related_topics", lambda t: ~t["source_section"].isin(*links.INFERRED))
     d = commands.select(F.col("section").alias("src"), F.posexplode(own).alias("place", "t"))
     d = d.select("src", "place", "t", F.posexplode(links.declared(F.col("t.title"))).alias("pos", "entry")).withColumn("key", key_of("entry.title"))
-    d = d.join(names.targets.withColumnRenamed("name", "key"), "key", "left")
+    d = d.join(names.targets.select(F.col("name").alias("key"), "sections"), "key", "left")
     none = F.array().cast("array<string>")
     said = F.coalesce("t.target_sections", none)
     found = F.when(F.col("entry.section").isNotNull(), F.array("entry.section")).when(F.size(said) > 0, said).otherwise(F.coalesce("sections", none))
@@ -125,17 +126,18 @@ def declared_topics(commands: DataFrame, names: links.Names) -> DataFrame:
 
 def enriched(commands: DataFrame) -> DataFrame:
     """Commands with topics that their records declare, texts name, examples call and parameters are about; doing it twice changes nothing."""
-    alias = links.aliases(commands)
+    commands = settled(commands, "enrich-commands")
+    alias = settled(links.aliases(commands), "enrich-aliases")
     names = links.names_of(alias, commands)
     far = 1_000_000
     t = declared_topics(commands, names).unionByName(links.linked(commands, names).withColumn("ord", F.col("ord") + far))
     p = parameter_topics(commands, alias)
     p = p.select("src", (F.col("pos") + 2 * far).alias("ord"), "title", "description", F.lit("Parameters").alias("source_section"), F.array("section").alias("target_sections"), F.array().cast("array<string>").alias("target_files"), F.lit("parameter_topic").alias("reference_kind"))
-    m = links.merged_topics(links.in_context(t, commands).unionByName(p))
+    m = links.merged_topics(links.in_context(settled(t, "enrich-topics"), commands).unionByName(settled(p, "enrich-parameters")))
     topic = F.struct(*[c.split()[0] for c in links.TOPIC.split(", ")])
     m = m.groupBy(F.col("src").alias("section")).agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", topic.alias("t")))), lambda x: x["t"]).alias("__new"))
     d = commands.join(m, "section", "left").withColumn("related_topics", F.coalesce("__new", F.array().cast(corpus.TOPICS))).drop("__new")
-    return with_targets(d)
+    return with_targets(settled(d, "enriched"))
 
 
 def write_corpus(commands: DataFrame, output: Path, *, schema: str = "repository", metadata: dict | None = None, report: dict | None = None) -> dict:

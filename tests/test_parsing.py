@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from quarry.operators import fields as X
 from quarry.plans import parsing
 from quarry.plans.profiles import profile
@@ -13,7 +15,7 @@ class Book:
 
     def line(self, *spans, gap=10.0):
         self.y += gap
-        self.rows.append(("d", self.page, len(self.rows), "line", "".join(s[0] for s in spans), spans[0][4], self.y, spans[-1][5], self.y + 10, list(spans), None))
+        self.rows.append(("d", self.page, len(self.rows), "line", " ".join(s[0] for s in spans), spans[0][4], self.y, spans[-1][5], self.y + 10, list(spans), None))
         self.y += 10
 
     def table(self, *rows):
@@ -111,10 +113,56 @@ def test_cross_page_templates(spark):
     assert any(x.startswith("format_crosses_page") for x in c["warnings"])
 
 
-def test_listing_needs_a_documented_command():
-    assert X.listing(["Packet counters: 25", "!"], "", ["sample"], ["sample <x>"]) == []
-    assert X.listing(["sample abc", "junk"], "", ["sample"], ["sample <x>"]) == ["sample abc"]
-    assert X.listing(["boot: sample abc", "version: 3"], "", ["sample"], ["sample <x>"]) == ["boot: sample abc"]
+def test_listing_needs_a_documented_command(spark):
+    blocks = [
+        (1, ["Packet counters: 25", "!", "interface statistics"], "", "demo", ["demo <x>"]),
+        (2, ["demo abc", "junk"], "", "demo", ["demo <x>"]),
+        (3, ["boot: demo abc", "version: 3", "boot: dir"], "", "demo", ["demo <x>"]),
+        (4, [" demo abc ", "!", "other line"], "", "demo", ["demo <x>"]),
+        (5, ["demo abc", "other line"], "The configuration is:", "x", ["demo <x>"]),
+        (6, ["demo abc", "other line"], "Output of the configuration:", "x", ["no demo <x>"]),
+        (7, ["show all"], "", "show all (EXEC)", []),
+    ]
+    d = spark.createDataFrame(blocks, "id int, lines array<string>, context string, title string, clis array<string>")
+    got = {r["id"]: r["calls"] for r in X.block_calls(d, ["id"]).collect()}
+    assert got == {2: ["demo abc"], 3: ["boot: demo abc", "boot: dir"], 4: ["demo abc", "other line"], 5: ["demo abc", "other line"], 6: ["demo abc"], 7: ["show all"]}
+
+
+def test_related_tables_and_columns(spark):
+    """Titles with their description in tables, in printed columns, and in lists."""
+    word = lambda text, x0, flags=0: (text, flags, 10.0, "F", float(x0), float(x0 + 5 * len(text)))
+    rows, at = [], 0
+
+    def line(field, page, y, *spans):
+        nonlocal at
+        at += 1
+        rows.append(("d", 1, field, page, at, "line", " ".join(s[0] for s in spans), 0.0, float(y), 90.0, float(y + 8), list(spans), None))
+
+    def grid(field, *cells):
+        nonlocal at
+        at += 1
+        rows.append(("d", 1, field, 1, at, "table", "", 0.0, 0.0, 90.0, 9.0, None, [list(c) for c in cells]))
+
+    grid("Related Topics", ["Topic", "Description"], ["outer topic", "First line"], [None, "Continued"], ["", ""], ["next", None])
+    line("Related Commands", 1, 0, word("Command", 0), word("Description", 60))
+    line("Related Commands", 1, 20, word("clear demo", 0, 16), word("Clears", 60))
+    line("Related Commands", 1, 29, word("all-", 0, 16), word("the demo.", 60))
+    line("Related Commands", 1, 38, word("now", 0, 16))
+    line("Related Commands", 2, 0, word("show demo", 10, 16), word("Shows it.", 75))
+    line("Related Commands", 2, 9, word("Table 3: more", 0))
+    line("Related Commands", 2, 18, word("set demo", 10, 16), word("Sets it.", 75))
+    line("See Also", 1, 0, word("• one thing", 0))
+    line("See Also", 1, 9, word("wrapped", 0))
+    line("See Also", 1, 30, word("another", 0))
+    schema = X.EVENTS.replace("doc_id string,", "doc_id string, command_id int, field string,")
+    got = {}
+    for r in X.related(spark.createDataFrame(rows, schema).withColumn("size", F.lit(10.0))).orderBy("source_section", "pos").collect():
+        got.setdefault(r["source_section"], []).append((r["title"], r["description"]))
+    assert got == {
+        "Related Topics": [("outer topic", "First line\nContinued"), ("next", "")],
+        "Related Commands": [("clear demo all-now", "Clears the demo."), ("show demo", "Shows it."), ("set demo", "Sets it.")],
+        "See Also": [("one thing wrapped", ""), ("another", "")],
+    }
 
 
 def test_nothing(spark):
