@@ -127,6 +127,26 @@ CC = {"by": "attribution", "by sa": "attribution sharealike", "by nd": "attribut
 CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 
 
+#: Names that stand for a license only with a version, as in SPDX ids.
+SHORT = "apache mpl epl cddl eupl ofl artistic afl osl ecl upl zpl lppl php"
+
+
+def identifiers() -> dict[str, str]:
+    """SPDX ids as words, and their labels: a name with each of its versions, and those that have none."""
+    out = {}
+    for line in NAMES.strip().splitlines():
+        label, _, _, *rest = line.rstrip(" |").split(" | ")
+        bare = label.replace("-", " ")
+        for v in rest[0].split() if rest else []:
+            words = bare + " " + (v if "." in v else f"{v}.0").replace(".", " ")
+            out |= {words: f"{label}-{v}", f"{words} only": f"{label}-{v}", f"{words} or later": f"{label}-{v}-or-later"}
+        if not rest:
+            out[bare] = label
+    for code in CC:
+        out |= {f"cc {code} {v.replace('.', ' ')}": f"cc-{code.replace(' ', '-')}-{v}" for v in CC_VERSIONS}
+    return out
+
+
 @dataclass(frozen=True)
 class Rule:
     label: str
@@ -141,15 +161,17 @@ def rules() -> tuple[Rule, ...]:
     """All rules, from high priority to low: notices, names with versions, names."""
     made = lambda label, key, body, priority, weight: Rule(label, key.encode(), re.compile(rf"(?<= )(?:{body})(?= )".encode()), priority, weight)
     out = [made(*line.split(" | "), 3, 0.95) for line in NOTICES.strip().splitlines()]
-    dotted = lambda v: v.replace(".0", r"(?: 0)?").replace(".", " ")
-    version = lambda v: rf"(?: \(?)?(?: version| v)? v?{dotted(v)}"
+    dotted = lambda v: v.replace(".0", r"(?: 0)?").replace(".", " ") + ("" if "." in v else r"(?: 0)?")
+    # "gpl 2", "gplv2", "gpl v2", "gpl version 2", "gpl 2.0": punctuation is gone by now.
+    version = lambda v: rf"(?: version)?(?: v ?|v| ){dotted(v)}"
+    later = r"(?: only)? (?:or|and) (?:at your option )?(?:any )?later(?: version)?"
     for line in NAMES.strip().splitlines():
         label, key, name, *rest = (x.strip() for x in line.split("|") if "(?:" not in line) if "(?:" not in line else (x.strip() for x in line.split(" | "))
         versions = (rest[0].rstrip("|").split() if rest else [])
         name = name.removesuffix(" |")
         for v in versions:
             if label in ("gpl", "lgpl", "agpl", "gfdl"):
-                out.append(made(f"{label}-{v}-or-later", key, rf"{name}{version(v)} (?:or|and) (?:any )?(?:\(at your option\) )?later(?: version)?", 2, 0.9))
+                out.append(made(f"{label}-{v}-or-later", key, f"{name}{version(v)}{later}", 2, 0.9))
             out.append(made(f"{label}-{v}", key, name + version(v), 2, 0.85))
         out.append(made(label, key, name, 1, 0.6))
     for code, long in CC.items():
@@ -158,7 +180,12 @@ def rules() -> tuple[Rule, ...]:
         for key, name in names:
             out += [made(f"{label}-{v}", key, rf"{name}(?: license)?{version(v)}(?: international| unported)?", 2, 0.85) for v in CC_VERSIONS]
             out.append(made(label, key, name, 1, 0.6))
-    out.append(made("spdx", "spdx license identifier", r"spdx license identifier \S+(?: \d+)*", 2, 0.9))
+    for label in SHORT.split():
+        for v in next(x.split(" | ")[3].split() for x in NAMES.strip().splitlines() if x.startswith(f"{label} | ")):
+            out.append(made(f"{label}-{v}", f"{label} {v[0]}", f"{label} {v.replace('.', ' ')}", 2, 0.85))
+    for spdx, label in identifiers().items():
+        out.append(made(label, "spdx license identifier", f"spdx license identifier {spdx}", 3, 0.95))
+    out.append(made("spdx", "spdx license identifier", r"spdx license identifier \S+(?: \d+)*", 0, 0.5))
     out.append(made("licensed", "licensed under", r"licensed under (?:the )?(?:terms of )?(?:\S+ ){1,6}licen[cs]e", 0, 0.4))
     return tuple(sorted(out, key=lambda r: -r.priority))
 
