@@ -15,6 +15,8 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +74,11 @@ class Letters:
         c = counts.reshape(N, N, N).astype(float) + 0.1
         self.log = np.log(c / c.sum(2, keepdims=True))
 
+    @cached_property
+    def rows(self) -> list[list[float]]:
+        """The logarithms by the two letters before, as plain numbers."""
+        return self.log.reshape(N * N, N).tolist()
+
     def mixed(self, words: Iterator[str], part: float) -> Letters:
         c = np.zeros(N**3)
         for w in words:
@@ -84,29 +91,60 @@ class Letters:
         return out
 
 
+def letters(node: tuple | None, stop: tuple | None = None) -> str:
+    """The letters of a path back to `stop`."""
+    out = []
+    while node is not stop:
+        node, c = node
+        out.append(c)
+    return "".join(reversed(out))
+
+
 def decode(token: str, lm: Letters, ch: Channel = Channel()) -> str:
-    """The likeliest letters behind a lower-case token; '' if there may be none."""
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    last = ""
+    """The likeliest letters behind a lower-case token; '' if there may be none.
+
+    Paths are chains of back-pointers.  What all of them share is set aside whenever one is left,
+    or their length has doubled since that was last looked at, so the work grows with the token.
+    """
+    states: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    done: list[str] = []
+    last, since, look = "", 0, 1024
+    log = lm.rows
     for c in token:
         options = [(c, ch.log_keep)] if c.isalpha() and c not in STANDS else []
         options += [(x, ch.log_sign) for x in STANDS.get(c, "")]
         if c.isalpha() and c in STANDS:
             options.append((c, ch.log_sign))
         drop = ch.log_drop if c in JOINERS or not options else ch.log_repeat if c == last else None
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (p, out) in states.items():
-            for x, cost in options:
-                k = letter(x)
-                q = p + cost + lm.log[a, b, k]
+        numbered = [(x, cost, letter(x)) for x, cost in options]
+        new: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (p, node) in states.items():
+            row = log[a * N + b]
+            for x, cost, k in numbered:
+                q = p + cost + row[k]
                 if (b, k) not in new or q > new[b, k][0]:
-                    new[b, k] = (q, out + x)
+                    new[b, k] = (q, (node, x))
             if drop is not None:
                 q = p + drop
                 if (a, b) not in new or q > new[a, b][0]:
-                    new[a, b] = (q, out)
-        states, last = new, c
-    return max(((p + lm.log[a, b, 0], out) for (a, b), (p, out) in states.items()), default=(0.0, ""))[1]
+                    new[a, b] = (q, node)
+        states, last, since = new, c, since + 1
+        if since >= 64 and len(states) == 1 or since >= look:
+            paths = {s: letters(node) for s, (_, node) in states.items()}
+            shared = commonprefix(list(paths.values()))
+            done.append(shared)
+            rest = {s: path[len(shared) :] for s, path in paths.items()}
+            states = {s: (p, chain(rest[s])) for s, (p, _) in states.items()}
+            since, look = max(map(len, rest.values())), max(1024, 2 * max(map(len, rest.values())))
+    _, best = max(((p + log[a * N + b][0], letters(node)) for (a, b), (p, node) in states.items()), default=(0.0, ""))
+    return "".join(done) + best
+
+
+def chain(path: str) -> tuple | None:
+    node = None
+    for c in path:
+        node = (node, c)
+    return node
 
 
 def plain(token: str) -> str:
@@ -213,15 +251,19 @@ class Model:
 
 
 def train(docs: DataFrame, labels: DataFrame, t: Toxic = Toxic()) -> Model:
-    """Learns the lexicon from a bounded sample of labelled rows that are not held out, and counts letters over all documents."""
+    """Learns the lexicon from a bounded sample of labelled rows that are not held out, and counts letters over all documents.
+
+    Of labels that contradict each other, for one doc_id or for one text, the toxic one counts; rows
+    without a label or an id are not learned from.  Without labelled rows the lexicon is empty.
+    """
     lm = Letters(trigrams(docs))
-    known = labels.select(F.col("doc_id").alias("k"), F.col("toxic").cast("int").alias("toxic")).filter("toxic IS NOT NULL AND k IS NOT NULL").dropDuplicates(["k"])
+    known = labels.select(F.col("doc_id").alias("k"), F.col("toxic").cast("int").alias("toxic")).filter("toxic IS NOT NULL AND k IS NOT NULL").groupBy("k").agg(F.max("toxic").alias("toxic"))
     known = known.filter(~held_out(F.col("k")))
     n = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     parts = {1: min(1.0, t.toxic_rows / max(1, n.get(1, 0))), 0: min(1.0, t.clean_rows / max(1, n.get(0, 0)))}
     dice = F.pmod(F.xxhash64(F.col("k"), F.lit(t.seed)), F.lit(2**30)) / float(2**30)
     some = written(known.filter(dice < F.when(F.col("toxic") == 1, parts[1]).otherwise(parts[0])), "toxic-sample")
-    rows = docs.select("doc_id", "text").join(some, docs["doc_id"] == some["k"]).select("text", "toxic").dropDuplicates(["text"])
+    rows = docs.select("doc_id", "text").join(some, docs["doc_id"] == some["k"]).groupBy("text").agg(F.max("toxic").alias("toxic"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Restorer(lm, lambda x: [f for w in x for f in features(w, t.beginnings)])
