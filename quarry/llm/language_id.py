@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import held_out
+from .common import held_out, written
 
 U = np.uint64
 
@@ -25,7 +25,7 @@ U = np.uint64
 class Kernel:
     #: Orders of the n-grams and what each weighs in the blend.
     weights: tuple[float, ...] = (0.5, 1.0, 1.0)
-    #: Rows of each language that are learned from, of these the landmarks, and characters of all rows that are learned from.
+    #: Rows of each language that are learned from, of these the landmarks, and characters of all languages' rows, shared evenly.
     per_language: int = 200
     landmarks: int = 24
     max_chars: int = 20_000_000
@@ -131,20 +131,24 @@ class Model:
 
 
 def train(docs: DataFrame, k: Kernel = Kernel()) -> Model:
-    """Fits a model on a sample of the rows that are not held out, bounded by rows of a language and by characters."""
+    """Fits a model on a sample of the rows that are not held out, bounded by rows and characters of each language.
+
+    Each language has an equal share of `max_chars`, 20,000 characters at least, and texts beyond
+    its share are not learned from; rows without a language, and texts without a letter, neither.
+    """
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n")).limit(1000).collect()}
-    if not counts:
-        return Model([], [], k)
-    dice = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(k.seed)), F.lit(2**30)) / float(2**30)
-    part = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(min(1.0, 1.3 * k.per_language / n))) for lang, n in counts.items()], F.lit(0.0))
-    sample = rows.filter(dice < part).select("text", "lang", dice.alias("dice"))
-    taken, texts, langs, chars = dict.fromkeys(counts, 0), [], [], 0
-    found = sorted(((r["dice"], r["lang"], r["text"]) for r in sample.toLocalIterator() if len(r["text"]) <= k.max_chars // 10))
-    for _, lang, text in found:
-        if taken[lang] < k.per_language and chars + len(text) <= k.max_chars:
-            taken[lang] += 1
-            chars += len(text)
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    counts = written(counts, "language-counts")
+    share = max(20_000, k.max_chars // max(1, counts.count()))
+    dice = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary"))), F.lit(k.seed)), F.lit(2**30)) / float(2**30)
+    few = F.least(F.lit(1.0), F.lit(1.3 * k.per_language) / F.col("n"))
+    sample = rows.filter(F.char_length("text") <= share).withColumn("dice", dice).join(counts, "lang").filter(F.col("dice") < few).select("dice", "lang", "text")
+    taken, used, texts, langs = {}, {}, [], []
+    for r in sorted(sample.toLocalIterator()):
+        lang, text = r["lang"], r["text"]
+        if taken.get(lang, 0) < k.per_language and used.get(lang, 0) + len(text) <= share:
+            taken[lang] = taken.get(lang, 0) + 1
+            used[lang] = used.get(lang, 0) + len(text)
             texts.append(text)
             langs.append(lang)
     return Model(texts, langs, k)
