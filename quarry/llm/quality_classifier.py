@@ -79,7 +79,7 @@ def classified(docs: DataFrame, labels: DataFrame, b: Bayes = Bayes()) -> DataFr
 
     Null and empty texts are binned like any; null hosts and paths are sites of their own.  Held-out
     rows give no labels but, like all unlabelled rows, soft counts.  Without labels the prior is
-    one half and no evidence counts.  Labels that repeat a doc_id count by their smallest value;
+    one half and no evidence counts.  A document's site is judged by the others there, not by itself.  Labels that repeat a doc_id count by their smallest value;
     repeated documents score alike.  Other columns are not read.
     """
     quality = labels.select(F.col("doc_id").alias("k"), F.col("quality").cast("int").alias("q")).filter("q IS NOT NULL AND k IS NOT NULL").groupBy("k").agg(F.min("q").alias("q"))
@@ -100,7 +100,7 @@ def classified(docs: DataFrame, labels: DataFrame, b: Bayes = Bayes()) -> DataFr
     d = d.withColumn("evidence", evidence)
     d = d.withColumn("own", 1 / (1 + F.exp(-(F.col("evidence") + F.lit(log(prior / (1 - prior)))))))
     d = d.withColumn("w", F.when(F.col("q").isNull(), F.lit(b.soft)).otherwise(F.lit(1.0))).withColumn("y", F.coalesce(F.col("q").cast("double"), F.col("own")))
-    d = written(d.select("id", "host", "path", "evidence", "w", "y"), "quality-evidence")
+    d = written(d.select("id", "host", "path", "evidence", "w", "y"), "quality-evidence")  # no texts from here on
     paths = d.groupBy("host", "path").agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("y")).alias("g"))
     paths = written(paths, "quality-paths")
     hosts = paths.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("g").alias("hg"))
@@ -108,12 +108,16 @@ def classified(docs: DataFrame, labels: DataFrame, b: Bayes = Bayes()) -> DataFr
     every = hosts.agg((F.sum("hg") / F.sum("hn")).alias("p")).first()["p"]
     every = prior if every is None else min(max(every, 1e-6), 1 - 1e-6)
     k_host = hosts.agg(strength(hosts, "hn", "r", F.lit(every), b).alias("k")).first()["k"]
-    hosts = hosts.select(F.col("host").alias("h"), "r", ((F.col("hg") + k_host * every) / (F.col("hn") + k_host)).alias("host_rate"))
+    hosts = hosts.select(F.col("host").alias("h"), "hg", "hn", ((F.col("hg") + k_host * every) / (F.col("hn") + k_host)).alias("host_rate"))
     both = paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).withColumn("pr", F.col("g") / F.col("n"))
     k_path = both.agg(strength(both, "n", "pr", F.col("host_rate"), b).alias("k")).first()["k"]
-    both = written(both.select(F.col("host").alias("h"), F.col("path").alias("p"), "host_rate", ((F.col("g") + k_path * F.col("host_rate")) / (F.col("n") + k_path)).alias("path_rate")), "quality-sites")
+    both = written(both.select(F.col("host").alias("h"), F.col("path").alias("p"), "hg", "hn", "g", "n"), "quality-sites")
     # Sites are pre-aggregated; the documents' side may be skewed and AQE splits it.
     d = d.join(both, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p")))
+    # A document's own count is taken out of its site's, or its evidence would count twice.
+    own = F.col("w") * F.col("y")
+    d = d.withColumn("host_rate", (F.col("hg") - own + k_host * every) / (F.col("hn") - F.col("w") + k_host))
+    d = d.withColumn("path_rate", (F.col("g") - own + k_path * F.col("host_rate")) / (F.col("n") - F.col("w") + k_path))
     clipped = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col("path_rate")))
     shift = F.greatest(F.lit(-log(b.site_bound)), F.least(F.lit(log(b.site_bound)), log_odds(clipped) - F.lit(log(every / (1 - every)))))
     d = d.withColumn("score", 1 / (1 + F.exp(-(F.col("evidence") + F.lit(log(prior / (1 - prior))) + shift))))
