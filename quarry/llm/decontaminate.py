@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import spent, written
+from .common import frugal, spent, written
 
 #: Bytes to words: A-Z lower-cased, `[\x00-\x2F\x3A-\x60\x7B-\x7F]` to blanks.
 TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -277,7 +277,7 @@ def numbered(docs: DataFrame, *columns: Column) -> DataFrame:
 
 def indexed(rows: DataFrame, s: Search = Search()) -> DataFrame:
     """The index of rows with row, id (as text) and text, written."""
-    return written(rows.select("row", "id", "text").mapInArrow(indexer(s), INDEX), "bench-index")
+    return written(rows.select("row", "id", "text").mapInArrow(frugal(indexer(s)), INDEX), "bench-index")
 
 
 def found_in(index: DataFrame, bench: DataFrame, s: Search) -> DataFrame:
@@ -285,7 +285,7 @@ def found_in(index: DataFrame, bench: DataFrame, s: Search) -> DataFrame:
     flat = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
     each = []
     for items in parts(bench, s):
-        d = index.select("rows", "starts", "terms", "df", "postings").mapInArrow(searcher(Phrases(items, s), s), FOUND)
+        d = index.select("rows", "starts", "terms", "df", "postings").mapInArrow(frugal(searcher(Phrases(items, s), s)), FOUND)
         each.append(written(d, "bench-found"))
     both = reduce(DataFrame.unionByName, each).groupBy("row").agg(flat("spans"), flat("items"), flat("near_items"))
     both = written(both, "bench-merged")

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import heavy, salted, spent, written
+from .common import frugal, heavy, salted, spent, written
 
 U = np.uint64
 LANES = 0x1111111111111111
@@ -50,6 +50,8 @@ class MinHash:
     long_rows: int = 8
     #: What is large in the longer bands too is compared in blocks of so many.
     block: int = 1024
+    #: The bands whose leaders come first; those of the others see only what these leave apart.
+    first: int = 8
     seed: int = 11
 
 
@@ -57,7 +59,7 @@ class Words(dict):
     """Hashes of words; cleared before it grows large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -193,15 +195,15 @@ def components(links: DataFrame) -> DataFrame:
 
 def signed(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
     """The signature table of the documents."""
-    return written(docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(signer(m), SIGNATURE), "minhash-signatures")
+    return written(docs.select(F.col("doc_id").cast("long").alias("id"), "text").mapInArrow(frugal(signer(m)), SIGNATURE), "minhash-signatures")
 
 
 def bucketed(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, hot): key, id, n and leader b of the buckets that two ids share at least; the heavy keys.  keys: id, key."""
+    """(members, hot): key, band, id, n and leader b of the buckets that two ids share at least; the heavy keys.  keys: id, band, key."""
     buckets = written(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("b")).filter("n > 1"), "minhash-buckets")
     total = buckets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     hot = heavy_of(buckets, total)
-    members = written(salted(keys, buckets, "key", hot).select("key", "id", "n", "b"), "minhash-members")
+    members = written(salted(keys, buckets, "key", hot).select("key", "band", "id", "n", "b"), "minhash-members")
     spent(buckets)
     return members, hot
 
@@ -212,31 +214,84 @@ def heavy_of(buckets: DataFrame, total: int) -> DataFrame:
     return buckets.sparkSession.createDataFrame(n.collect() if total > 1000 else [], n.schema)
 
 
+class Texts:
+    """The texts of the documents that pairs need, fetched once each."""
+
+    def __init__(self, docs: DataFrame):
+        self.docs = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+        self.parts: list[DataFrame] = []
+
+    def of(self, ids: DataFrame) -> DataFrame:
+        """id, text of at least these ids."""
+        need = ids.distinct()
+        for t in self.parts:
+            need = need.join(t.select("id"), "id", "left_anti")
+        need = written(need, "minhash-need")
+        if not self.parts or not need.isEmpty():
+            self.parts.append(written(self.docs.join(need, "id", "left_semi"), "minhash-texts"))
+        spent(need)
+        return reduce(DataFrame.unionByName, self.parts)
+
+
 def near_links(docs: DataFrame, reps: DataFrame, m: MinHash = MinHash()) -> DataFrame:
     """a, b: links that connect whatever confirmed pairs connect.  reps: id, bands, packed of one document for each set."""
-    members, hot = bucketed(reps.select("id", F.explode("bands").alias("key")))
+    members, hot = bucketed(reps.select("id", F.posexplode("bands").alias("band", "key")))
     packed = written(reps.select("id", "packed").join(members.select("id").distinct(), "id", "left_semi"), "minhash-packed")
-    texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(members.select("id").distinct(), "id", "left_semi")
-    texts = written(texts, "minhash-texts")
+    texts = Texts(docs)
 
     def confirmed(pairs: DataFrame, name: str) -> DataFrame:
         """pairs a, b: those that are links."""
         crowd = heavy(pairs, "b")
         p = pairs.join(packed.select(F.col("id").alias("a"), F.col("packed").alias("pa")), "a")
         p = salted(p, packed.select(F.col("id").alias("b"), F.col("packed").alias("pb")), "b", crowd)
-        p = p.filter(estimated(F.col("pa"), F.col("pb"), m) >= m.percent / 100 - m.margin).select("a", "b")
+        p = p.filter(estimated(F.col("pa"), F.col("pb"), m) >= m.percent / 100 - m.margin).select("a", "b").distinct()
         likely = written(p, "minhash-likely")
-        p = likely.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
-        p = salted(p, texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b", crowd)
-        out = written(p.select("a", "b", "ta", "tb").mapInArrow(confirmer(m), "a bigint, b bigint"), name)
+        some = texts.of(likely.select(F.explode(F.array("a", "b")).alias("id")))
+        p = likely.join(some.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+        p = salted(p, some.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b", crowd)
+        out = written(p.select("a", "b", "ta", "tb").mapInArrow(frugal(confirmer(m)), "a bigint, b bigint").distinct(), name)
         spent(likely)
         return out
 
-    def connected(members: DataFrame, hot: DataFrame, stars: DataFrame, before: list[DataFrame]) -> tuple[list[DataFrame], DataFrame]:
-        """(links, large): those that leaders and small buckets give; key, id, label, lead of the large buckets still open."""
-        stars = written(stars.distinct(), "minhash-stars")
-        links = [*before, confirmed(stars, "minhash-links")]
-        labels = components(reduce(DataFrame.unionByName, links))
+    def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        """The pairs with la and lb, the labels of a and b (themselves if they have none)."""
+        top = heavy(pairs, "b")
+        p = pairs.join(labels.select(F.col("id").alias("a"), F.col("label").alias("la")), "a", "left")
+        p = salted(p, labels.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b", top, "left")
+        return p.select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb"))
+
+    def joined(labels: DataFrame | None, links: DataFrame) -> DataFrame:
+        """id, label of the components that the labels and the links give: only components that links join are spread anew."""
+        if labels is None:
+            return components(links)
+        over = written(labelled(links, labels).filter("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct(), "minhash-over")
+        new = components(over).select(F.col("id").alias("label"), F.col("label").alias("to"))
+        every = labels.unionByName(new.select(F.col("label").alias("id"), "label")).groupBy("id").agg(F.min("label").alias("label"))
+        every = written(every, "minhash-every")
+        out = written(salted(every, new, "label", heavy(every, "label"), "left").select("id", F.coalesce("to", "label").alias("label")), "minhash-labels")
+        spent(over, every)
+        return out
+
+    def connected(members: DataFrame, hot: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """(labels, large): the components that leaders and small buckets give; key, id, label, lead of the large buckets still open.
+
+        The leaders of the first bands connect most; the other bands only hold apart what isn't connected by then.
+        """
+        done = []
+        for name, cond in (("minhash-first", F.col("band") < m.first), ("minhash-rest", F.col("band") >= m.first)):
+            some = members.filter(cond)
+            if labels is None:
+                pairs = some.filter(F.col("id") != F.col("b")).select(F.col("id").alias("a"), "b")
+            else:  # of each bucket only those that its leader isn't connected with
+                mine = written(some.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label")), "minhash-mine")
+                split = mine.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct("id", "label")).alias("lead")).filter("low <> high")
+                pairs = salted(mine, split.select("key", F.col("lead.id").alias("b"), F.col("lead.label").alias("lb")), "key", hot).filter("label <> lb").select(F.col("id").alias("a"), "b")
+            pairs = pairs.distinct()
+            for d in done:
+                pairs = pairs.join(d, ["a", "b"], "left_anti")
+            pairs = written(pairs, name)
+            done.append(pairs)
+            labels = joined(labels, confirmed(pairs, "minhash-links"))
         now = members.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
         now = written(now, "minhash-now")
         open_ = now.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("id").alias("lead")).filter("low <> high")
@@ -244,28 +299,33 @@ def near_links(docs: DataFrame, reps: DataFrame, m: MinHash = MinHash()) -> Data
         small, large = left.filter(F.col("n") <= m.small), left.filter(F.col("n") > m.small)
         x, y = small.select("key", F.col("id").alias("a"), F.col("label").alias("la")), small.select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
         fresh = x.join(y, "key").filter((F.col("la") != F.col("lb")) & (F.col("a") > F.col("b"))).select("a", "b").distinct()
-        fresh = written(fresh.join(stars, ["a", "b"], "left_anti"), "minhash-fresh")
-        links.append(confirmed(fresh, "minhash-more"))
-        spent(stars, now, fresh)
-        return links, large
-
-    links, large = connected(members, hot, members.filter("id <> b").select(F.col("id").alias("a"), "b"), [])
+        for d in done:
+            fresh = fresh.join(d, ["a", "b"], "left_anti")
+        fresh = written(fresh, "minhash-fresh")
+        labels = joined(labels, confirmed(fresh, "minhash-more"))
+        spent(now, fresh, *done)
+        return labels, large
+
+    labels, large = connected(members, hot, None)
     spent(members)
+    links = []
     if not large.isEmpty():
         far = replace(m, bands=m.long_bands, rows=m.long_rows)
-        crowd = written(large.select("id", "label").distinct(), "minhash-crowd")
-        again = texts.dropDuplicates(["id"]).join(crowd.select("id"), "id", "left_semi").select("id", "text").mapInArrow(signer(far), SIGNATURE)
-        again = written(again.select("id", F.explode("bands").alias("key")).join(crowd, "id"), "minhash-long")
+        crowd = written(large.select("id").distinct().join(labels, "id", "left").select("id", F.coalesce("label", "id").alias("label")), "minhash-crowd")
+        some = texts.of(crowd.select("id"))
+        again = some.join(crowd.select("id"), "id", "left_semi").select("id", "text").mapInArrow(frugal(signer(far)), SIGNATURE)
+        again = written(again.select("id", F.posexplode("bands").alias("band", "key")).join(crowd, "id"), "minhash-long")
         # Buckets within one component are settled.
         split = again.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).filter("low <> high")
-        mixed_keys = written(salted(again, split.select("key"), "key", heavy_of(split, again.count())), "minhash-split")
-        members, hot = bucketed(mixed_keys.select("id", "key"))
-        stars = members.join(crowd, "id").join(crowd.select(F.col("id").alias("b"), F.col("label").alias("lb")), "b").filter("label <> lb").select(F.col("id").alias("a"), "b")
-        links, large = connected(members, hot, stars, links)
-        links.append(block_links(large, texts, m))
-        spent(crowd, again, mixed_keys, members)
-    spent(texts, packed)
-    return reduce(DataFrame.unionByName, links)
+        kept = written(salted(again, split.select("key"), "key", heavy_of(split, again.count())).select("id", "band", "key"), "minhash-split")
+        spent(again)
+        members, hot = bucketed(kept)
+        labels, large = connected(members, hot, labels)
+        if not large.isEmpty():
+            links = [block_links(large, texts.of(large.select("id")), m)]
+        spent(crowd, kept, members)
+    spent(packed, *texts.parts)
+    return reduce(DataFrame.unionByName, links, labels.filter("id <> label").select(F.col("id").alias("a"), F.col("label").alias("b")))
 
 
 def block_links(large: DataFrame, texts: DataFrame, m: MinHash) -> DataFrame:
@@ -316,14 +376,15 @@ def grouped(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
     """id, n_shingles, component_id, kept: one row for each row of docs.
 
     Null and empty texts, and those of white space alone, have no shingles and are linked with
-    nothing.  Rows with the same doc_id are one document; one with a null doc_id is linked with
-    nothing and kept, its component null.  Columns beside doc_id and text are not read.
+    nothing.  Rows with the same doc_id are one document with the links of each of them; one with a null doc_id is linked with
+    nothing and kept, its component null.  An empty table gives no rows.  Columns beside doc_id and
+    text are not read.
     """
     sig = signed(docs, m)
     some = sig.filter("n_shingles > 0 AND id IS NOT NULL").withColumn("set", F.struct("set_a", "set_b", "n_shingles"))
     classes = some.groupBy("set").agg(F.min("id").alias("rep"), F.count("*").alias("n"))
     classes = written(classes, "minhash-classes")
-    reps = written(some.join(classes.select("set", F.col("rep").alias("id")), ["set", "id"], "left_semi").select("id", "bands", "packed").dropDuplicates(["id"]), "minhash-reps")
+    reps = written(some.join(classes.select("set", F.col("rep").alias("id")), ["set", "id"], "left_semi").select("id", "bands", "packed"), "minhash-reps")
     links = near_links(docs, reps, m)
     total = classes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     crowd = classes.filter(F.col("n") > max(1000, 0.001 * total)).select("set")
@@ -346,9 +407,9 @@ def one_of_each(docs: DataFrame, m: MinHash = MinHash()) -> DataFrame:
     Of rows that share a doc_id the one with the least text stays (nulls first), and of equal texts
     any: they differ in other columns at most.  Rows without an id stay, all of them.
     """
-    found = written(grouped(docs, m).filter("kept").select("id").distinct(), "minhash-kept")
+    gone = written(grouped(docs, m).filter("NOT kept").select("id").distinct(), "minhash-gone")
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    d = d.join(found, F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")), "left_semi")
+    d = d.join(gone, F.col("row.doc_id").cast("long") == F.col("id"), "left_anti")
     ids = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("k"))
     ids = written(ids, "minhash-repeated")
     if not ids.isEmpty():
