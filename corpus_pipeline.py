@@ -1,13 +1,47 @@
-"""The corpus pipeline: rules, line dedup, near dedup, decontamination and mixing, one stage after the other."""
+"""The corpus pipeline: rules, line dedup, near dedup, decontamination and mixing, one stage after the other.
+
+Each stage's result is written before the next stage is called with it, reread.  So a stage begins by
+deleting the tables that the one before it left in the shared folder, unless its documents still read them.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from quarry.llm import decontaminate, line_dedup, mixing, near_dedup, quality_rules
-from quarry.llm.common import scratch, spent, table, written
+from quarry.llm.common import TABLES, delete, table, written
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+#: The tables that the last stage wrote for its result.
+LEFT: list[str] = []
+
+
+def cleared(spark: SparkSession, docs: DataFrame) -> None:
+    """Deletes what the last stage left, if docs don't read it."""
+    names = {path.rsplit("/", 1)[1] for path in LEFT}
+    if names and not any(part in names for f in docs.inputFiles() for part in f.split("/")):
+        delete(spark, *LEFT)
+    LEFT.clear()
+
+
+def stage(work: Stage) -> Stage:
+    """A stage that clears up after the one before it."""
+
+    @wraps(work)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        cleared(spark, docs)
+        before = set(TABLES)
+        out = work(spark, docs, sf_dir)
+        LEFT.extend(p for p in TABLES if p not in before)
+        return out
+
+    return run
 
 
+@stage
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality rules keep.
 
@@ -18,6 +52,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+@stage
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without boilerplate lines; n_chars follows the text.
 
@@ -27,6 +62,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.without_boilerplate(docs)
 
 
+@stage
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, by shingles of five words; op3's two are its query's own.
 
@@ -36,6 +72,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_dedup.one_of_each(docs, near_dedup.MinHash(shingle=5))
 
 
+@stage
 def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no passage of any benchmark item: one is a leak here, while op4's column asks for two.
 
@@ -45,6 +82,7 @@ def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"), decontaminate.Search(min_items=1))
 
 
+@stage
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: the documents that are taken, with `copies`.
 
@@ -62,11 +100,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each one's result written and read again."""
-    docs, last = table(spark, sf_dir, "documents"), None
-    for name, stage in STAGES[:-1]:
-        with scratch(spark, keep=f"pipeline-{name}"):
-            now = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-        if last is not None:
-            spent(last)
-        docs = last = now
+    docs = table(spark, sf_dir, "documents")
+    for name, work in STAGES[:-1]:
+        docs = written(work(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
