@@ -247,22 +247,22 @@ def homonym_context(t):
     return M.homonyms(e, sources, targets)
 
 
-RULES = "r AS (SELECT event_type, event_id AS rule, value AS low, value + 0.5 AS high FROM events WHERE event_id % 500 = 0)"
+RULES = "r AS (SELECT event_type, event_id AS rule, value AS low, value + 0.5 AS high FROM events WHERE event_id % 50 = 0)"
 
 
 def rules(t):
-    return t("events").filter("event_id % 500 = 0").select("event_type", F.col("event_id").alias("rule"), F.col("value").alias("low"), (F.col("value") + 0.5).alias("high"))
+    return t("events").filter("event_id % 50 = 0").select("event_type", F.col("event_id").alias("rule"), F.col("value").alias("low"), (F.col("value") + 0.5).alias("high"))
 
 
 @query(f"WITH {RULES} SELECT event_id, rule FROM events e JOIN r USING (event_type) WHERE value BETWEEN low AND high")
 def range_rule_rows(t):
-    """Events with the rules that hold them; only events whose id is divisible by 500 are rules, here and in the SQL."""
+    """Events with the rules that hold them; only events whose id is divisible by 50 are rules, here and in the SQL."""
     return M.in_ranges(t("events"), rules(t), ["event_type"], "value", "low", "high", 0.5).select("event_id", "rule")
 
 
 @query(f"WITH {RULES} SELECT event_id FROM events e WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.event_type = e.event_type AND e.value BETWEEN low AND high)")
 def spatial_exclusion(t):
-    """Events that no rule holds; only events whose id is divisible by 500 are rules, so other events' ranges exclude nothing."""
+    """Events that no rule holds; only events whose id is divisible by 50 are rules, so other events' ranges exclude nothing."""
     return M.outside_ranges(t("events"), rules(t), ["event_type"], "value", "low", "high", 0.5).select("event_id")
 
 
