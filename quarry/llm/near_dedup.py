@@ -297,11 +297,10 @@ def near_links(docs: DataFrame, reps: DataFrame, m: MinHash = MinHash()) -> Data
         open_ = now.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"), F.min("id").alias("lead")).filter("low <> high")
         left = written(salted(now, open_.select("key", "n", "lead"), "key", hot), "minhash-left")
         small, large = left.filter(F.col("n") <= m.small), left.filter(F.col("n") > m.small)
-        x, y = small.select("key", F.col("id").alias("a"), F.col("label").alias("la")), small.select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
+        # The leader was held against all of its bucket.
+        x, y = small.select("key", F.col("id").alias("a"), F.col("label").alias("la")), small.filter("id <> lead").select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
         fresh = x.join(y, "key").filter((F.col("la") != F.col("lb")) & (F.col("a") > F.col("b"))).select("a", "b").distinct()
-        for d in done:
-            fresh = fresh.join(d, ["a", "b"], "left_anti")
-        fresh = written(fresh, "minhash-fresh")
+        fresh = written(fresh.join(reduce(DataFrame.unionByName, done), ["a", "b"], "left_anti"), "minhash-fresh")
         labels = joined(labels, confirmed(fresh, "minhash-more"))
         spent(now, fresh, *done)
         return labels, large
