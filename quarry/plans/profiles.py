@@ -71,6 +71,8 @@ class Profile:
 numbered = Profile(
     "huawei",
     labels=BASE | NUMBERED,
+    header=75.0,
+    footer=45.0,
     conditions=("For ",),
     inverse=("undo",),
     prompt=r"^(?:(?:<[^<>\s]+>|\[[~*]?[^\[\]\s]+\])\s*\S|(?:<>|\[\])\s+[A-Za-z])",
@@ -80,6 +82,7 @@ labelled = Profile(
     labels=BASE | LABELLED,
     numbered=False,
     heading_size=14.0,
+    label_size=10.0,
     keyword="upright",
     inverse=("no", "default", "no-match"),
     prompt=r"^(?:[\w./:-]+)?(?:\([^\n)]*\))?[#>]\s*\S",
