@@ -313,16 +313,16 @@ def near_links(docs: DataFrame, reps: DataFrame, m: MinHash = MinHash()) -> Data
         crowd = written(large.select("id").distinct().join(labels, "id", "left").select("id", F.coalesce("label", "id").alias("label")), "minhash-crowd")
         some = texts.of(crowd.select("id"))
         again = some.join(crowd.select("id"), "id", "left_semi").select("id", "text").mapInArrow(frugal(signer(far)), SIGNATURE)
-        again = written(again.select("id", F.posexplode("bands").alias("band", "key")).join(crowd, "id"), "minhash-long")
-        # Buckets within one component are settled.
-        split = again.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("n")).filter("low <> high")
-        kept = written(salted(again, split.select("key"), "key", heavy_of(split, again.count())).select("id", "band", "key"), "minhash-split")
-        spent(again)
-        members, hot = bucketed(kept)
+        again = written(again.select("id", F.posexplode("bands").alias("band", "key")), "minhash-long")
+        found, hot = bucketed(again)
+        # Buckets within one component are settled; labels are needed only where a bucket is shared.
+        split = found.join(crowd, "id").groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high")
+        members = written(salted(found, split.select("key"), "key", hot), "minhash-split")
+        spent(again, found)
         labels, large = connected(members, hot, labels)
         if not large.isEmpty():
             links = [block_links(large, texts.of(large.select("id")), m)]
-        spent(crowd, kept, members)
+        spent(crowd, members)
     spent(packed, *texts.parts)
     return reduce(DataFrame.unionByName, links, labels.filter("id <> label").select(F.col("id").alias("a"), F.col("label").alias("b")))
 
