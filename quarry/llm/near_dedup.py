@@ -272,12 +272,19 @@ def near_links(docs: DataFrame, reps: DataFrame, m: MinHash = MinHash()) -> Data
         spent(over, every)
         return out
 
+    #: The pairs held against each other so far: the longer bands meet many of them again.
+    done: list[DataFrame] = []
+
+    def fresh_of(pairs: DataFrame) -> DataFrame:
+        """The pairs not yet held against each other."""
+        pairs = pairs.distinct()
+        return pairs.join(reduce(DataFrame.unionByName, done), ["a", "b"], "left_anti") if done else pairs
+
     def connected(members: DataFrame, hot: DataFrame, labels: DataFrame | None) -> tuple[DataFrame, DataFrame]:
         """(labels, large): the components that leaders and small buckets give; key, id, label, lead of the large buckets still open.
 
         The leaders of the first bands connect most; the other bands only hold apart what isn't connected by then.
         """
-        done = []
         for name, cond in (("minhash-first", F.col("band") < m.first), ("minhash-rest", F.col("band") >= m.first)):
             some = members.filter(cond)
             if labels is None:
@@ -286,10 +293,7 @@ def near_links(docs: DataFrame, reps: DataFrame, m: MinHash = MinHash()) -> Data
                 mine = written(some.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label")), "minhash-mine")
                 split = mine.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min(F.struct("id", "label")).alias("lead")).filter("low <> high")
                 pairs = salted(mine, split.select("key", F.col("lead.id").alias("b"), F.col("lead.label").alias("lb")), "key", hot).filter("label <> lb").select(F.col("id").alias("a"), "b")
-            pairs = pairs.distinct()
-            for d in done:
-                pairs = pairs.join(d, ["a", "b"], "left_anti")
-            pairs = written(pairs, name)
+            pairs = written(fresh_of(pairs), name)
             done.append(pairs)
             labels = joined(labels, confirmed(pairs, "minhash-links"))
         now = members.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
@@ -299,10 +303,11 @@ def near_links(docs: DataFrame, reps: DataFrame, m: MinHash = MinHash()) -> Data
         small, large = left.filter(F.col("n") <= m.small), left.filter(F.col("n") > m.small)
         # The leader was held against all of its bucket.
         x, y = small.select("key", F.col("id").alias("a"), F.col("label").alias("la")), small.filter("id <> lead").select("key", F.col("id").alias("b"), F.col("label").alias("lb"))
-        fresh = x.join(y, "key").filter((F.col("la") != F.col("lb")) & (F.col("a") > F.col("b"))).select("a", "b").distinct()
-        fresh = written(fresh.join(reduce(DataFrame.unionByName, done), ["a", "b"], "left_anti"), "minhash-fresh")
+        fresh = x.join(y, "key").filter((F.col("la") != F.col("lb")) & (F.col("a") > F.col("b"))).select("a", "b")
+        fresh = written(fresh_of(fresh), "minhash-fresh")
+        done.append(fresh)
         labels = joined(labels, confirmed(fresh, "minhash-more"))
-        spent(now, fresh, *done)
+        spent(now)
         return labels, large
 
     labels, large = connected(members, hot, None)
@@ -323,7 +328,7 @@ def near_links(docs: DataFrame, reps: DataFrame, m: MinHash = MinHash()) -> Data
         if not large.isEmpty():
             links = [block_links(large, texts.of(large.select("id")), m)]
         spent(crowd, members)
-    spent(packed, *texts.parts)
+    spent(packed, *texts.parts, *done)
     return reduce(DataFrame.unionByName, links, labels.filter("id <> label").select(F.col("id").alias("a"), F.col("label").alias("b")))
 
 
