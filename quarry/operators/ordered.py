@@ -87,10 +87,11 @@ def leaves(outline: DataFrame, by: Sequence[str] = ("doc_id",)) -> DataFrame:
 def page_ranges(outline: DataFrame, page_count: Column, by: Sequence[str] = ("doc_id",), levels: int = 9) -> DataFrame:
     """first_page and last_page of each entry: it ends on the page of the next entry that is no deeper, that page included.
 
-    For each level one running look-ahead, not a join of the outline with itself.
+    For each level one value carried from the last entry to the first, not a join of the outline with itself: a frame
+    that ends with the partition would be read anew for each row.
     """
-    after = Window.partitionBy(*by).orderBy("idx").rowsBetween(1, Window.unboundedFollowing)
-    ends = [F.when(F.col("level") == n, F.first(F.when(F.col("level") <= n, F.col("page")), ignorenulls=True).over(after)) for n in range(1, levels + 1)]
+    after = Window.partitionBy(*by).orderBy(F.desc("idx")).rowsBetween(Window.unboundedPreceding, -1)
+    ends = [F.when(F.col("level") == n, F.last(F.when(F.col("level") <= n, F.col("page")), ignorenulls=True).over(after)) for n in range(1, levels + 1)]
     return outline.withColumn("first_page", F.col("page")).withColumn("last_page", F.coalesce(*ends, page_count))
 
 
