@@ -295,7 +295,7 @@ def sha256_text(t):
 
 @query(r"""SELECT page_id, list_transform(regexp_extract_all(html, '(?s)<h1[^>]*>(.*?)</h1>', 1), lambda x: replace(replace(replace(replace(replace(trim(regexp_replace(x, '\s+', ' ', 'g')), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'))[1] AS heading FROM pages""")
 def html_headings(t):
-    return t("pages").select("page_id", F.get(U.heading_set(1)("html"), F.lit(0)).alias("heading"))
+    return t("pages").select("page_id", T.first_heading(F.col("html")).alias("heading"))
 
 
 @query()
