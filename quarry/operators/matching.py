@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -150,6 +150,23 @@ def inverse_frequency(df: Column, n: Column) -> Column:
     return F.ln((n + 1) / (df + 1)) + 1
 
 
+def likely_terms(tf: DataFrame, frequency: DataFrame, rows: DataFrame, by: str, k: int, heavy: int = 50_000) -> DataFrame:
+    """by, term, n: the rows of tf that can be among their key's k best by n times the inverse frequency, and some more.
+
+    tf: by, term, n; frequency: term, df; rows: one row with the number of documents, `rows`. The terms with the most
+    documents are broadcast, as many as `heavy` at most, and weighed; any other term's weight lies between those of df 1
+    and of the bound. What stays below the k-th best lower bound of its key goes before anything is shuffled by term.
+    """
+    sums = F.broadcast(rows.crossJoin(frequency.agg(F.floor(F.sum("df") / heavy).alias("__cap"))))  # one row
+    weight = lambda df: inverse_frequency(df, F.col("rows"))
+    known = frequency.crossJoin(sums).filter(F.col("df") > F.greatest("__cap", F.lit(1))).select("term", weight(F.col("df")).alias("__w"))
+    d = tf.join(F.broadcast(known), "term", "left").crossJoin(sums)
+    low, high = (F.col("n") * F.coalesce("__w", weight(df)) for df in (F.greatest("__cap", F.lit(1)), F.lit(1)))
+    best = Window.partitionBy(by).orderBy(F.desc("__low")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    d = d.select(by, "term", "n", low.alias("__low"), high.alias("__high")).withColumn("__least", F.nth_value("__low", k).over(best))
+    return d.filter(F.col("__least").isNull() | (F.col("__high") >= F.col("__least") * (1 - 1e-9) - 1e-5)).select(by, "term", "n")  # scores may be rounded to 6 places
+
+
 def report(commands: DataFrame) -> DataFrame:
     """One row of counts over commands."""
     filled = lambda c: F.count_if(F.col(c) != "")

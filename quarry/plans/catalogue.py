@@ -52,8 +52,13 @@ def term_idf(t):
 @query(IDF + f""", tf AS (SELECT doc_id, term, count(*) AS n FROM (SELECT doc_id, unnest({TERMS}) AS term FROM documents) GROUP BY ALL)
 SELECT doc_id, term, score, rank FROM (SELECT doc_id, term, round(n * w, 6) AS score, row_number() OVER (PARTITION BY doc_id ORDER BY round(n * w, 6) DESC, term) AS rank FROM tf JOIN idf USING (term)) WHERE rank <= 3""")
 def tfidf_top_terms(t):
-    tf = t("documents").select("doc_id", F.explode(T.terms(F.col("text"))).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("n"))
-    d = tf.join(idf(t), "term").select("doc_id", "term", F.round(F.col("n") * F.col("w"), 6).alias("score"))
+    """Texts are dealt by document, so that each counts its own terms in place; only the likely ones go to their term's weight."""
+    docs = t("documents").select("doc_id", "text").repartition("doc_id")
+    n = t("documents").agg(F.count("*").alias("rows"))  # one row
+    f = M.document_frequency(docs, T.terms(F.col("text"))).filter("term IS NOT NULL")  # as its joins infer: else it is made twice
+    tf = docs.select("doc_id", F.explode(T.terms(F.col("text"))).alias("term")).groupBy("doc_id", "term").agg(F.count("*").alias("n"))
+    d = M.likely_terms(tf, f, n, "doc_id", 3).join(f, "term").crossJoin(F.broadcast(n))
+    d = d.select("doc_id", "term", F.round(F.col("n") * M.inverse_frequency(F.col("df"), F.col("rows")), 6).alias("score"))
     return O.numbered(d, ["doc_id"], [F.desc("score"), F.asc("term")], "rank").filter("rank <= 3")
 
 

@@ -1,5 +1,6 @@
 import duckdb
 
+from quarry.operators import matching as M
 from quarry.plans import catalogue as C
 
 #: Pages whose first heading a parser reads otherwise than the SQL does, or a regex of another dialect would.
@@ -16,3 +17,30 @@ def test_html_headings_as_the_sql(spark, tmp_path):
     with duckdb.connect() as c:
         c.execute(f"CREATE VIEW pages AS FROM '{tmp_path}/pages.parquet/*.parquet'")
         assert found == dict(c.execute(C.ORACLE_SQL["html_headings"]).fetchall())
+
+
+#: Marks, numbers other than digits, ties, a key on two rows, null keys and texts, documents of fewer than three terms.
+TEXTS = [
+    (1, "a a a b b c d e f g"), (2, "a b c d e"), (3, "ÁB café x² ½ Ⅷ _y_z"), (4, "one"), (5, ""), (6, None), (7, "q q r"), (7, "q r s t"), (None, "a n n"), (None, "m a"),
+    *((10 + i, f"a the the b{i % 3} w{i} " + "c " * (i % 7)) for i in range(40)),
+]
+
+
+def test_top_terms_as_the_sql(spark, tmp_path):
+    spark.createDataFrame(TEXTS, "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    found = C.QUERIES["tfidf_top_terms"](spark, str(tmp_path)).collect()
+    with duckdb.connect() as c:
+        c.execute(f"CREATE VIEW documents AS FROM '{tmp_path}/documents.parquet/*.parquet'")
+        wanted = c.execute(C.ORACLE_SQL["tfidf_top_terms"]).fetchall()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, wanted))
+
+
+def test_few_terms_go_to_their_weight(spark):
+    """A document's frequent terms stay behind if three others are certain to be better, whatever the bound."""
+    f = spark.createDataFrame([("the", 900), ("of", 800), *((f"t{i}", 5) for i in range(9))], "term string, df long")
+    tf = spark.createDataFrame([(1, "the", 2), (1, "of", 2), *((1, f"t{i}", 9 if i < 3 else 1) for i in range(9)), (2, "the", 1)], "doc_id long, term string, n long")
+    rows = spark.createDataFrame([(1000,)], "rows long")
+    for heavy in (1, 100, 10**6):
+        found = {(r["doc_id"], r["term"]) for r in M.likely_terms(tf, f, rows, "doc_id", 3, heavy).collect()}
+        assert {(1, "t0"), (1, "t1"), (1, "t2"), (2, "the")} <= found
+        assert heavy == 1 or found == {(1, "t0"), (1, "t1"), (1, "t2"), (2, "the")}
